@@ -23,9 +23,6 @@ if TYPE_CHECKING:
 # ---- counts --------------------------------------------------------------------
 
 
-BATCH = "table string, _batch string"
-
-
 def rows_per_batch(files: DataFrame) -> DataFrame:
     """table_id, _batch, n_rows from the file footers alone."""
     groups = files.groupBy(F.col("table").alias("table_id"), "_batch")
@@ -43,16 +40,15 @@ def batch_counts(store: BranchStore, batches: DataFrame) -> DataFrame:
     wanted = batches.select(F.col("table_id").alias("table"), "_batch")
     if wanted.limit(store.broadcast_limit + 1).count() <= store.broadcast_limit:
         wanted = F.broadcast(wanted)
-    files = store.spark.read.schema(BATCH).parquet(f"{store.root}/data")
-    return rows_per_batch(files.join(wanted, ["table", "_batch"], "left_semi"))
+    return rows_per_batch(store.stored_rows().join(wanted, ["table", "_batch"], "left_semi"))
 
 
 def named_batch_counts(store: BranchStore, batches: Sequence[tuple[str, str]]) -> DataFrame:
     if not batches:
         return rows_frame(store.spark, [], "table_id string, _batch string, n_rows bigint")
     paths = [store.batch_path(table_id, batch) for table_id, batch in sorted(batches)]
-    files = store.spark.read.schema(BATCH).option("basePath", f"{store.root}/data").parquet(*paths)
-    return rows_per_batch(files)
+    files = store.spark.read.schema("table string, _batch string").option("basePath", f"{store.root}/data")
+    return rows_per_batch(files.parquet(*paths))
 
 
 def count_tables(store: BranchStore, states: Sequence[dict], labels: Sequence[str]) -> DataFrame:
@@ -137,7 +133,7 @@ def commit_log(store: BranchStore, ref: str) -> DataFrame:
     ``rows_added`` counts the rows of the batches that the commit's tables have
     and the same tables at its first parent do not.
     """
-    commits = lg.commits_of(store.ledger(), store.state(ref))
+    commits = store.history(store.state(ref))
     parents = commits.select(F.col("hash").alias("parent"), F.col("tables").alias("had"))
     pairs = commits.select("hash", "parent", "tables").join(parents, "parent", "left")
     changed = F.map_filter(
@@ -153,7 +149,7 @@ def commit_log(store: BranchStore, ref: str) -> DataFrame:
     fresh = F.array_except("batches", F.coalesce("old_batches", none))
     added = lists.select("hash", "table_id", F.explode(fresh).alias("_batch"))
     # the history holds nearly every batch, so all footers are read, without a list to join
-    counts = rows_per_batch(store.spark.read.schema(BATCH).parquet(f"{store.root}/data"))
+    counts = rows_per_batch(store.stored_rows())
     per_commit = added.join(counts, ["table_id", "_batch"]).groupBy("hash").agg(F.sum("n_rows").alias("rows_added"))
     rows = commits.join(per_commit, "hash", "left")
     return rows.select("depth", "hash", "message", F.coalesce("rows_added", F.lit(0)).alias("rows_added"))

@@ -7,7 +7,6 @@ from typing import TYPE_CHECKING
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from branchyard.operators import ledger as lg
 from branchyard.operators.audit import batch_counts
 
 if TYPE_CHECKING:
@@ -16,11 +15,11 @@ if TYPE_CHECKING:
 
 def reachable_batches(store: BranchStore) -> DataFrame:
     """table_id, _batch of every commit in the history of a live ref."""
-    ledger = store.ledger()
-    reach = lg.latest_per_ref(ledger).select(F.explode("seen").alias("lane", "upto"))
-    reach = reach.groupBy("lane").agg(F.max("upto").alias("upto"))
-    commits = ledger.filter(F.col("action").isin(*lg.AUTHORED)).join(reach, "lane")
-    commits = commits.filter(F.col("pos") <= F.col("upto"))
+    reach: dict[str, int] = {}
+    for state in store.live_states():
+        for lane, last in state["seen"].items():
+            reach[lane] = max(last, reach.get(lane, -1))
+    commits = store.history({"seen": reach})
     ids = commits.select(F.explode(F.map_values("tables")).alias("content_id")).distinct()
     contents = store.all_contents().join(ids, "content_id", "left_semi")
     return contents.select("table_id", F.explode("batches").alias("_batch")).distinct()
@@ -28,9 +27,7 @@ def reachable_batches(store: BranchStore) -> DataFrame:
 
 def stored_batches(store: BranchStore) -> DataFrame:
     """table_id, _batch, n_bytes of every batch folder, from the file listing alone."""
-    files = store.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-    listed = files.load(f"{store.root}/data")
-    sizes = listed.groupBy(F.col("table").alias("table_id"), "_batch")
+    sizes = store.stored_files().groupBy(F.col("table").alias("table_id"), "_batch")
     return sizes.agg(F.sum("length").alias("n_bytes"))
 
 

@@ -1,9 +1,12 @@
-"""The ledger: one row for each move of a ref.
+"""Commits, and the ledger of the refs' moves.
 
-``tables`` maps a table key to the content it had at that commit. ``seen`` says
-for each lane (one life of a ref, from its creation to its drop) how many of its
-moves the commit includes, so that "is an ancestor of" is one comparison and a
-common ancestor is one filter over the ledger, without walking the history.
+A commit is written once: which content each table key has, and ``seen``, the
+number of moves it includes of each lane (one life of a ref, from its creation to
+its drop). So "is an ancestor of" is one comparison, and a common ancestor is one
+filter over the commits, without walking the history.
+
+The ledger has one short row for each move of a ref, whatever the number of
+tables; the last row of a ref says where it points.
 """
 
 from __future__ import annotations
@@ -14,23 +17,21 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LEDGER_SCHEMA = (
-    "ref string, seq bigint, ref_type string, ref_lane string, action string,"
-    " hash string, parent string, parent2 string, lane string, pos bigint, depth bigint,"
-    " message string, tables map<string,string>, seen map<string,bigint>,"
+MOVE_SCHEMA = (
+    "ref string, seq bigint, ref_type string, ref_lane string, action string, hash string,"
     " stream string, stream_batch bigint"
 )
 
-#: moves that made a new commit; the others point a ref at an existing one
-AUTHORED = ("started", "committed", "merged")
+COMMIT_SCHEMA = (
+    "hash string, parent string, parent2 string, lane string, pos bigint, depth bigint,"
+    " message string, tables map<string,string>, seen map<string,bigint>"
+)
 
 NAMESPACE = "namespace"
 
-COMMIT_FIELDS = ("hash", "parent", "parent2", "lane", "pos", "depth", "message", "tables", "seen")
-
 
 def new_commit(parents: list[dict], lane: str, pos: int, message: str, tables: dict[str, str]) -> dict:
-    """Commit fields of a ledger row on top of one or two parent rows."""
+    """A commit on top of one or two parents."""
     seen: dict[str, int] = {}
     for parent in parents:
         for name, last in parent["seen"].items():
@@ -50,17 +51,8 @@ def new_commit(parents: list[dict], lane: str, pos: int, message: str, tables: d
     return commit
 
 
-def first_row(ref: str) -> dict:
-    """The row that starts a store: an empty default ref."""
-    lane = f"{ref}.0"
-    return {
-        "ref": ref, "seq": 0, "ref_type": "Branch", "ref_lane": lane, "action": "started",
-        **new_commit([], lane, 0, "start", {}),
-    }
-
-
-def next_row(ref: str, last: dict | None, action: str, commit: dict, **more) -> dict:
-    """The ledger row after ``last`` on ``ref``, pointing at ``commit``."""
+def next_move(ref: str, last: dict | None, action: str, commit_hash: str, **more) -> dict:
+    """The ledger row after ``last`` on ``ref``, pointing at a commit."""
     seq = 0 if last is None else last["seq"] + 1
     opens = last is None or last["action"] == "dropped"
     return {
@@ -69,7 +61,7 @@ def next_row(ref: str, last: dict | None, action: str, commit: dict, **more) ->
         "ref_type": "Branch",
         "ref_lane": f"{ref}.{seq}" if opens else last["ref_lane"],
         "action": action,
-        **{name: commit[name] for name in COMMIT_FIELDS},
+        "hash": commit_hash,
         **more,
     }
 
@@ -80,21 +72,16 @@ def includes(state: dict, commit: dict) -> bool:
 
 
 def included_in(state: dict) -> Column:
-    """The same test as a filter over ledger rows."""
+    """The same test as a filter over commits."""
     seen = F.from_json(F.lit(json.dumps(state["seen"])), "map<string,bigint>")
     return F.coalesce(F.try_element_at(seen, F.col("lane")) >= F.col("pos"), F.lit(False))
 
 
-def commits_of(ledger: DataFrame, state: dict) -> DataFrame:
-    """The distinct commits in the history of ``state``."""
-    return ledger.filter(F.col("action").isin(*AUTHORED) & included_in(state))
-
-
-def latest_per_ref(ledger: DataFrame) -> DataFrame:
+def latest_per_ref(moves: DataFrame) -> DataFrame:
     """The last row of each ref that is not dropped.
 
     ``max_by`` combines on the map side, so a ref with most of the ledger's
     rows does not end in one task.
     """
-    last = ledger.groupBy("ref").agg(F.max_by(F.struct(*ledger.columns), "seq").alias("last"))
+    last = moves.groupBy("ref").agg(F.max_by(F.struct(*moves.columns), "seq").alias("last"))
     return last.select("last.*").filter(F.col("action") != "dropped")

@@ -1,10 +1,11 @@
 """The store: refs over tables, all kept as Parquet below one folder.
 
-    ledger/<ref>/            one row per move of a ref
-    contents/<id>/           one row per table version
-    data/table=<id>/_batch=<id>/   the rows, never changed after the write
-    staging/<name>/          unversioned tables, seen from every ref
-    streams/<lane>/<name>/   checkpoints of streams into a ref
+    ledger/ref=<ref>/               one short row per move of a ref
+    commits/<hash>/                 one row per commit
+    contents/<id>/                  one row per table version
+    data/table=<id>/_batch=<id>/    the rows, never changed after the write
+    staging/<name>/                 unversioned tables, seen from every ref
+    streams/<lane>/<table>/<name>/  checkpoints of streams into a ref
 
 One writer per ref at a time: a write checks that its tables did not move since
 it began, but the check and the publishing row are not one atomic step.
@@ -13,7 +14,7 @@ it began, but the check and the publishing row are not one atomic step.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
@@ -27,14 +28,21 @@ from branchyard.operators import ledger as lg
 from branchyard.operators import merge as mg
 from branchyard.operators.content import CONTENT_SCHEMA, Content
 from branchyard.operators.tables import RefTables
-from branchyard.session import rows_frame
+from branchyard.session import no_rows, rows_frame
 
 REF_NAME = re.compile(r"[A-Za-z0-9][A-Za-z0-9_.-]*")
+COMMIT_HASH = re.compile(r"[0-9a-f]{64}")
 TABLE_KEY = re.compile(r"[A-Za-z0-9_]+\.[A-Za-z0-9_]+")
 
 
+def newest(moves: DataFrame) -> dict | None:
+    """The last of the moves of one ref, also if it says that the ref is dropped."""
+    rows = moves.orderBy(F.desc("seq")).limit(1).collect()
+    return rows[0].asDict() if rows else None
+
+
 class BranchStore:
-    """Open the store at ``root``, or start it with an empty default ref.
+    """The store at ``root``; ``BranchStore.start`` makes a new one.
 
     ``path_limit``: a table version of up to this many batches is read by naming
     its folders; a longer list stays in Spark and is joined.
@@ -56,50 +64,86 @@ class BranchStore:
         self.path_limit = path_limit
         self.broadcast_limit = broadcast_limit
         self._contents: dict[str, Content] = {}
-        if self._last_row(default) is None:
-            self._add_row(lg.first_row(default))
+        self._commits: dict[str, dict] = {}
+
+    @classmethod
+    def start(cls, spark: SparkSession, root: str, default: str = "main", **options) -> BranchStore:
+        """A new store with an empty default ref; an error if there is one already."""
+        store = cls(spark, root, default, **options)
+        first = lg.new_commit([], f"{default}.0", 0, "start", {})
+        store.save_commit(first)
+        store._add_move(lg.next_move(default, None, "started", first["hash"]), mode="errorifexists")
+        return store
 
     # ---- reading the metadata -------------------------------------------------
 
-    def _last_row(self, ref: str) -> dict | None:
-        """The newest ledger row of a ref, also if it says that the ref is dropped."""
-        if not REF_NAME.fullmatch(ref):
-            raise ValueError(f"not a ref name: {ref!r}")
+    def ledger(self) -> DataFrame:
+        """All moves of all refs; a filter on ``ref`` reads only that ref's files."""
+        return self.spark.read.schema(lg.MOVE_SCHEMA).parquet(f"{self.root}/ledger")
+
+    def moves(self, ref: str) -> DataFrame:
+        """All moves of one ref, listing only its own folder."""
+        ledger = f"{self.root}/ledger"
+        files = self.spark.read.schema(lg.MOVE_SCHEMA).option("basePath", ledger)
+        return self._found(lambda: files.parquet(f"{ledger}/ref={ref}"), ref)
+
+    def commits(self) -> DataFrame:
+        """Every commit, also of dropped refs."""
+        files = self.spark.read.schema(lg.COMMIT_SCHEMA).option("recursiveFileLookup", True)
+        return files.parquet(f"{self.root}/commits")
+
+    def commits_of(self, hashes: Iterable[str]) -> dict[str, dict]:
+        """Some commits by hash. They never change, so a known one is not read again."""
+        unknown = sorted(set(hashes) - self._commits.keys())
+        if unknown:
+            paths = [f"{self.root}/commits/{name}" for name in unknown]
+            files = self.spark.read.schema(lg.COMMIT_SCHEMA)
+            for row in self._found(lambda: files.parquet(*paths), ", ".join(unknown)).collect():
+                self._commits[row["hash"]] = row.asDict()
+        return {name: self._commits[name] for name in hashes}
+
+    def history(self, state: dict) -> DataFrame:
+        """The commits that a state includes, itself among them."""
+        return self.commits().filter(lg.included_in(state))
+
+    @staticmethod
+    def _found(read: Callable[[], DataFrame], name: str) -> DataFrame:
         try:
-            moves = self.moves(ref)
+            return read()
         except AnalysisException as missing:
             if missing.getCondition() == "PATH_NOT_FOUND":
-                return None
+                raise UnknownRef(name) from None
             raise
-        newest = moves.orderBy(F.desc("seq")).limit(1).collect()
-        return newest[0].asDict() if newest else None
 
-    def moves(self, ref: str) -> DataFrame:
-        """All moves of one ref; only its own folder is listed."""
-        return self.spark.read.schema(lg.LEDGER_SCHEMA).parquet(f"{self.root}/ledger/{ref}")
+    def _or_empty(self, read: Callable[[], DataFrame], schema: str) -> DataFrame:
+        """What a folder holds, or no rows while nothing was written to it yet."""
+        try:
+            return read()
+        except AnalysisException as missing:
+            if missing.getCondition() == "PATH_NOT_FOUND":
+                return rows_frame(self.spark, [], schema)
+            raise
 
-    def ledger(self) -> DataFrame:
-        """All moves of all refs."""
-        files = self.spark.read.schema(lg.LEDGER_SCHEMA).option("recursiveFileLookup", True)
-        return files.parquet(f"{self.root}/ledger")
+    def ref_state(self, ref: str) -> dict:
+        """Where a live ref points: its last move together with the commit."""
+        if not REF_NAME.fullmatch(ref):
+            raise ValueError(f"not a ref name: {ref!r}")
+        move = newest(self.moves(ref))
+        if move is None or move["action"] == "dropped":
+            raise UnknownRef(ref)
+        return {**self.commits_of([move["hash"]])[move["hash"]], **move}
 
     def state(self, name: str) -> dict:
         """Where a ref points now, or the commit of that hash."""
-        if REF_NAME.fullmatch(name):
-            row = self._last_row(name)
-            if row is not None and row["action"] != "dropped":
-                return row
-        commit = self.ledger().filter((F.col("hash") == name) & F.col("action").isin(*lg.AUTHORED))
-        found = commit.limit(1).collect()
-        if not found:
-            raise UnknownRef(name)
-        return found[0].asDict()
-
-    def _ref_state(self, ref: str) -> dict:
-        row = self._last_row(ref)
-        if row is None or row["action"] == "dropped":
-            raise UnknownRef(ref)
-        return row
+        if not COMMIT_HASH.fullmatch(name):
+            return self.ref_state(name)
+        return {"ref": name, **self.commits_of([name])[name]}
+
+    def live_states(self) -> list[dict]:
+        """The state of every live ref; one row per ref."""
+        moves = [row.asDict() for row in lg.latest_per_ref(self.ledger()).collect()]
+        commits = self.commits_of({move["hash"] for move in moves})
+        return [{**commits[move["hash"]], **move} for move in moves]
 
     def content_rows(self, ids: Iterable[str]) -> DataFrame:
         """The version rows of these content ids, read from their own folders."""
@@ -111,7 +155,20 @@ class BranchStore:
     def all_contents(self) -> DataFrame:
         """Every version row ever written."""
         files = self.spark.read.schema(CONTENT_SCHEMA).option("recursiveFileLookup", True)
-        return files.parquet(f"{self.root}/contents")
+        return self._or_empty(lambda: files.parquet(f"{self.root}/contents"), CONTENT_SCHEMA)
+
+    def stored_rows(self) -> DataFrame:
+        """table, _batch for each row of every batch; reads footers only."""
+        schema = "table string, _batch string"
+        return self._or_empty(lambda: self.spark.read.schema(schema).parquet(f"{self.root}/data"), schema)
+
+    def stored_files(self) -> DataFrame:
+        """table, _batch, length of every data file, from the listing alone."""
+        files = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+        listed = self._or_empty(
+            lambda: files.load(f"{self.root}/data"), "table string, _batch string, length bigint"
+        )
+        return listed.select("table", "_batch", "length")
 
     def content_of(self, content_id: str) -> Content:
         """One version; versions never change, so a known one is not read again."""
@@ -135,9 +192,16 @@ class BranchStore:
 
     # ---- writing the metadata -------------------------------------------------
 
-    def _add_row(self, row: dict) -> None:
-        frame = rows_frame(self.spark, [row], lg.LEDGER_SCHEMA)
-        frame.write.mode("append").parquet(f"{self.root}/ledger/{row['ref']}")
+    def _add_move(self, move: dict, mode: str = "append") -> None:
+        """The publishing step: the ref now points at the commit of the move."""
+        frame = rows_frame(self.spark, [move], lg.MOVE_SCHEMA).drop("ref")
+        frame.write.mode(mode).parquet(f"{self.root}/ledger/ref={move['ref']}")
+
+    def save_commit(self, commit: dict) -> None:
+        """Write a commit before a move points at it."""
+        frame = rows_frame(self.spark, [commit], lg.COMMIT_SCHEMA)
+        frame.write.mode("overwrite").parquet(f"{self.root}/commits/{commit['hash']}")
+        self._commits[commit["hash"]] = commit
 
     def save_content(self, new: Content, old: Content | None = None, batch: str | None = None) -> str:
         """Write a version row before a commit names it.
@@ -174,7 +238,7 @@ class BranchStore:
         ``base`` is the state that the work began from: a key that moved since
         raises ``StaleHead``. With ``expected_hash`` any move raises.
         """
-        now = self._ref_state(ref)
+        now = self.ref_state(ref)
         if expected_hash is not None and now["hash"] != expected_hash:
             raise StaleHead(f"{ref} is at {now['hash']}, not at {expected_hash}")
         if base is not None and base["hash"] != now["hash"]:
@@ -184,7 +248,8 @@ class BranchStore:
         tables = {**now["tables"], **changes}
         tables = {key: value for key, value in tables.items() if value is not None}
         commit = lg.new_commit([now], now["ref_lane"], now["seq"] + 1, message, tables)
-        self._add_row(lg.next_row(ref, now, "committed", commit, **more))
+        self.save_commit(commit)
+        self._add_move(lg.next_move(ref, now, "committed", commit["hash"], **more))
         return commit["hash"]
 
     # ---- refs -------------------------------------------------------------------
@@ -194,40 +259,38 @@ class BranchStore:
 
     def head(self, ref: str) -> str:
         """Hash of the commit that the ref points at."""
-        return self._ref_state(ref)["hash"]
+        return self.ref_state(ref)["hash"]
 
     def list_refs(self) -> DataFrame:
         """ref_type, name, hash of every live ref."""
         return lg.latest_per_ref(self.ledger()).select("ref_type", F.col("ref").alias("name"), "hash")
 
-    def live_states(self) -> list[dict]:
-        """The state of every live ref; one row per ref."""
-        return [row.asDict() for row in lg.latest_per_ref(self.ledger()).collect()]
-
     def _ref_row(self, name: str, commit_hash: str) -> DataFrame:
         row = {"ref_type": "Branch", "name": name, "hash": commit_hash}
         return rows_frame(self.spark, [row], "ref_type string, name string, hash string")
 
     def create_ref(self, name: str, source: str | None = None, at: str | None = None) -> DataFrame:
         """A new ref at the source's head, or at an older commit of it. Copies no rows."""
-        last = self._last_row(name)
+        if not REF_NAME.fullmatch(name) or COMMIT_HASH.fullmatch(name):
+            raise ValueError(f"not a ref name: {name!r}")
+        last = newest(self.ledger().filter(F.col("ref") == name))
         if last is not None and last["action"] != "dropped":
             raise AlreadyExists(name)
-        state = self._ref_state(source or self.default)
+        state = self.ref_state(source or self.default)
         if at is not None and at != state["hash"]:
             commit = self.state(at)
-            if commit["hash"] != at or not lg.includes(state, commit):
+            if not lg.includes(state, commit):
                 raise UnknownRef(f"{at} is not in the history of {state['ref']}")
             state = commit
-        self._add_row(lg.next_row(name, last, "created", state))
+        self._add_move(lg.next_move(name, last, "created", state["hash"]))
         return self._ref_row(name, state["hash"])
 
     def drop_ref(self, name: str) -> None:
         """The ref is gone; its batches stay until nothing reaches them."""
         if name == self.default:
             raise ValueError("the default ref cannot be dropped")
-        last = self._ref_state(name)
-        self._add_row(lg.next_row(name, last, "dropped", last))
+        last = self.ref_state(name)
+        self._add_move(lg.next_move(name, last, "dropped", last["hash"]))
 
     def merge_ref(
         self,
@@ -254,7 +317,7 @@ class BranchStore:
         ref = ref or self.default
         if not re.fullmatch(r"[A-Za-z0-9_]+", name):
             raise ValueError(f"not a namespace name: {name!r}")
-        state = self._ref_state(ref)
+        state = self.ref_state(ref)
         if name in state["tables"]:
             if not if_not_exists:
                 raise AlreadyExists(name)
@@ -263,9 +326,13 @@ class BranchStore:
 
     def list_namespaces(self) -> DataFrame:
         """ref, namespace for every live ref."""
-        keys = lg.latest_per_ref(self.ledger()).select("ref", F.explode("tables").alias("key", "content_id"))
-        spaces = keys.filter(F.col("content_id") == lg.NAMESPACE)
-        return spaces.select("ref", F.col("key").alias("namespace"))
+        rows = [
+            {"ref": state["ref"], "namespace": key}
+            for state in self.live_states()
+            for key, content_id in state["tables"].items()
+            if content_id == lg.NAMESPACE
+        ]
+        return rows_frame(self.spark, rows, "ref string, namespace string")
 
     # ---- tables -----------------------------------------------------------------
 
@@ -311,7 +378,7 @@ class BranchStore:
             skipped = set(skip.batches) if skip is not None else set()
             paths = [self.batch_path(content.table_id, b) for b in content.batches if b not in skipped]
             if not paths:
-                return self.spark.createDataFrame([], schema)
+                return no_rows(self.spark, schema)
             return self.spark.read.schema(schema).parquet(*paths).select(columns)
         wanted = self.batch_list(content)
         if skip is not None:

@@ -66,7 +66,7 @@ class RefTables:
 
     def create_table(self, key: str, schema: StructType | str, if_not_exists: bool = True) -> None:
         """An empty table with declared columns; an existing one is left as it is."""
-        state = self.store._ref_state(self.ref)
+        state = self.store.ref_state(self.ref)
         if key in state["tables"]:
             if not if_not_exists:
                 raise AlreadyExists(key)
@@ -78,13 +78,13 @@ class RefTables:
 
     def drop_table(self, key: str) -> None:
         """Gone at this ref only; no file is touched."""
-        state = self.store._ref_state(self.ref)
+        state = self.store.ref_state(self.ref)
         self.store.content_at(state, key)
         self.store.commit(self.ref, f"drop table {key}", {key: None}, base=state)
 
     def rename_table(self, key: str, new_key: str) -> None:
         """Move the table to another key at this ref only."""
-        state = self.store._ref_state(self.ref)
+        state = self.store.ref_state(self.ref)
         content = self.store.content_at(state, key)
         if new_key in state["tables"]:
             raise AlreadyExists(new_key)
@@ -94,7 +94,7 @@ class RefTables:
 
     def drop_column(self, key: str, column: str) -> None:
         """A version that no longer reads the column; files keep it for the other refs."""
-        state = self.store._ref_state(self.ref)
+        state = self.store.ref_state(self.ref)
         old = self.store.content_at(state, key)
         content_id = self.store.save_content(old.without_column(column), old)
         self.store.commit(self.ref, f"drop column {column} of {key}", {key: content_id}, base=state)
@@ -103,7 +103,7 @@ class RefTables:
 
     def append(self, key: str, rows: DataFrame) -> DataFrame:
         """Add the rows of a query, by position. Returns an empty frame, as an insert does."""
-        state = self.store._ref_state(self.ref)
+        state = self.store.ref_state(self.ref)
         old = self.store.content_at(state, key)
         batch = new_batch_id()
         self.store.write_batch(old, rows, batch)
@@ -113,12 +113,12 @@ class RefTables:
 
     def append_values(self, key: str, values: Sequence[tuple]) -> DataFrame:
         """Add literal rows."""
-        schema = self.store.content_at(self.store._ref_state(self.ref), key).schema
+        schema = self.store.content_at(self.store.ref_state(self.ref), key).schema
         return self.append(key, self.store.spark.createDataFrame(list(values), schema))
 
     def overwrite(self, key: str, rows: DataFrame) -> DataFrame:
         """Replace the table's rows with those of a query, which may read the table itself."""
-        state = self.store._ref_state(self.ref)
+        state = self.store.ref_state(self.ref)
         old = self.store.content_at(state, key)
         batch = new_batch_id()
         self.store.write_batch(old, rows, batch)
@@ -131,7 +131,7 @@ class RefTables:
 
         A replay of an unpublished one overwrites what the first try left.
         """
-        state = self.store._ref_state(self.ref)
+        state = self.store.ref_state(self.ref)
         moves = self.store.moves(self.ref).filter(F.col("ref_lane") == state["ref_lane"])
         last = moves.filter(F.col("stream") == f"{key} {stream}").agg(F.max("stream_batch")).first()[0]
         if last is not None and number <= last:

@@ -331,7 +331,7 @@ def list_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dropped_refs(spark: SparkSession, sf_dir: str) -> BranchStore:
     """A store after cleaning up: `dev` was merged, `experiment` was not."""
-    store = BranchStore(spark, work_folder(spark, "dropped"))
+    store = BranchStore.start(spark, work_folder(spark, "dropped"))
     store.create_namespace("shop")
     for ref, name in (("dev", "customer"), ("experiment", "orders")):
         rows = given(spark, sf_dir, name)

@@ -56,7 +56,7 @@ class Workflow:
 
 def run_workflow(spark: SparkSession, sf_dir: str) -> Workflow:
     orders, customer, supplier = (given(spark, sf_dir, t) for t in ("orders", "customer", "supplier"))
-    store = BranchStore(spark, work_folder(spark, "workflow"))
+    store = BranchStore.start(spark, work_folder(spark, "workflow"))
     work = Workflow(store)
     store.create_namespace("shop")
     store.create_ref("dev")
@@ -98,7 +98,7 @@ class Sandbox:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
-        self.store = BranchStore(spark, work_folder(spark, "sandbox"))
+        self.store = BranchStore.start(spark, work_folder(spark, "sandbox"))
         self.store.create_namespace("shop")
         self._numbers = itertools.count(1)
         self._loaded: set[str] = set()

@@ -9,6 +9,7 @@ from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
@@ -29,3 +30,9 @@ def rows_frame(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
     """A DataFrame of a few metadata rows, built in the JVM without Python tasks."""
     packed = spark.sql("SELECT :rows AS rows", args={"rows": json.dumps(rows)})
     return packed.select(F.inline(F.from_json("rows", f"array<struct<{schema}>>")))
+
+
+def no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
+    """An empty frame that the optimizer knows to be empty, so that it plans nothing for it."""
+    columns = [F.lit(None).cast(field.dataType).alias(field.name) for field in schema.fields]
+    return spark.range(1).select(columns).limit(0)

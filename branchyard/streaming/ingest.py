@@ -29,7 +29,7 @@ def stream_files(
     if not re.fullmatch(r"[A-Za-z0-9_]+", name):
         raise ValueError(f"not a stream name: {name!r}")
     tables = store.at(ref)
-    state = store._ref_state(ref)
+    state = store.ref_state(ref)
     reader: DataStreamReader = store.spark.readStream.schema(store.content_at(state, key).schema)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
