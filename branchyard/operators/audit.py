@@ -127,13 +127,15 @@ def heads_equal(store: BranchStore) -> DataFrame:
     )
 
 
-def commit_log(store: BranchStore, ref: str) -> DataFrame:
+def commit_log(store: BranchStore, ref: str, with_rows: bool = True) -> DataFrame:
     """depth, hash, message, rows_added of every commit in the ref's history.
 
     ``rows_added`` counts the rows of the batches that the commit's tables have
-    and the same tables at its first parent do not.
+    and the same tables at its first parent do not; without it no data is read.
     """
     commits = store.history(store.state(ref))
+    if not with_rows:
+        return commits.select("depth", "hash", "message")
     parents = commits.select(F.col("hash").alias("parent"), F.col("tables").alias("had"))
     pairs = commits.select("hash", "parent", "tables").join(parents, "parent", "left")
     changed = F.map_filter(

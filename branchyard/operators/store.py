@@ -231,14 +231,17 @@ class BranchStore:
         changes: dict[str, str | None],
         base: dict | None = None,
         expected_hash: str | None = None,
+        now: dict | None = None,
         **more,
     ) -> str:
         """Put or remove table keys in one commit on top of the ref's head.
 
-        ``base`` is the state that the work began from: a key that moved since
-        raises ``StaleHead``. With ``expected_hash`` any move raises.
+        ``changes`` maps a key to a content id, or to None to remove it. ``base``
+        is the state that a longer work began from: a key that moved since raises
+        ``StaleHead``. With ``expected_hash`` any move raises. ``now`` is the
+        ref's state if the caller has only just read it.
         """
-        now = self.ref_state(ref)
+        now = now or self.ref_state(ref)
         if expected_hash is not None and now["hash"] != expected_hash:
             raise StaleHead(f"{ref} is at {now['hash']}, not at {expected_hash}")
         if base is not None and base["hash"] != now["hash"]:
@@ -322,7 +325,7 @@ class BranchStore:
             if not if_not_exists:
                 raise AlreadyExists(name)
             return
-        self.commit(ref, f"create namespace {name}", {name: lg.NAMESPACE}, base=state)
+        self.commit(ref, f"create namespace {name}", {name: lg.NAMESPACE}, now=state)
 
     def list_namespaces(self) -> DataFrame:
         """ref, namespace for every live ref."""

@@ -74,13 +74,13 @@ class RefTables:
         if isinstance(schema, str):
             schema = StructType.fromDDL(schema)
         content_id = self.store.save_content(self.store.new_table(key, schema, state))
-        self.store.commit(self.ref, f"create table {key}", {key: content_id}, base=state)
+        self.store.commit(self.ref, f"create table {key}", {key: content_id}, now=state)
 
     def drop_table(self, key: str) -> None:
         """Gone at this ref only; no file is touched."""
         state = self.store.ref_state(self.ref)
         self.store.content_at(state, key)
-        self.store.commit(self.ref, f"drop table {key}", {key: None}, base=state)
+        self.store.commit(self.ref, f"drop table {key}", {key: None}, now=state)
 
     def rename_table(self, key: str, new_key: str) -> None:
         """Move the table to another key at this ref only."""
@@ -90,14 +90,14 @@ class RefTables:
             raise AlreadyExists(new_key)
         self.store.new_table(new_key, content.schema, state)
         changes = {key: None, new_key: state["tables"][key]}
-        self.store.commit(self.ref, f"rename table {key} to {new_key}", changes, base=state)
+        self.store.commit(self.ref, f"rename table {key} to {new_key}", changes, now=state)
 
     def drop_column(self, key: str, column: str) -> None:
         """A version that no longer reads the column; files keep it for the other refs."""
         state = self.store.ref_state(self.ref)
         old = self.store.content_at(state, key)
         content_id = self.store.save_content(old.without_column(column), old)
-        self.store.commit(self.ref, f"drop column {column} of {key}", {key: content_id}, base=state)
+        self.store.commit(self.ref, f"drop column {column} of {key}", {key: content_id}, now=state)
 
     # ---- writing ------------------------------------------------------------------
 
@@ -112,9 +112,9 @@ class RefTables:
         return self._no_rows()
 
     def append_values(self, key: str, values: Sequence[tuple]) -> DataFrame:
-        """Add literal rows."""
+        """Add a few literal rows, as one file."""
         schema = self.store.content_at(self.store.ref_state(self.ref), key).schema
-        return self.append(key, self.store.spark.createDataFrame(list(values), schema))
+        return self.append(key, self.store.spark.createDataFrame(list(values), schema).coalesce(1))
 
     def overwrite(self, key: str, rows: DataFrame) -> DataFrame:
         """Replace the table's rows with those of a query, which may read the table itself."""

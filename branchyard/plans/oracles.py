@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 CENTS = "CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT)"
-ORDERS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
-REVERSED = "-1 - o_orderkey, o_custkey, o_orderstatus, -o_totalprice, o_orderdate, o_orderpriority"
 LINES = (
     "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,"
     " l_discount, l_tax, l_linestatus, l_shipdate"
@@ -143,6 +141,11 @@ ORACLES: dict[str, str] = {
         f"'6 experiment loaded'; 'etl'; true; {N_ORDERS} + {N_CUSTOMER} + {N_SUPPLIER}",
         f"'6 experiment loaded'; 'experiment'; false; 2 * {N_ORDERS} + {N_SUPPLIER}",
     ),
+    "commit_operations": values(
+        'message "table" n_rows',
+        f"'archive the orders'; 'shop.archive'; {N_ORDERS}",
+        f"'archive the orders'; 'shop.orders'; {N_ORDERS}",
+    ),
     "commit_log": values(
         "depth message rows_added",
         "CAST(0 AS BIGINT); 'start'; CAST(0 AS BIGINT)",
@@ -208,9 +211,9 @@ ORACLES: dict[str, str] = {
         f"'shop.supplier'; {N_SUPPLIER}; {N_SUPPLIER}",
     ),
     "row_diff": (
-        f"SELECT 'added' AS change, o.*, count(*) AS n_rows FROM"
-        f" (SELECT -1 - o_orderkey AS o_orderkey, o_custkey, o_orderstatus, -o_totalprice AS o_totalprice,"
-        f" o_orderdate, o_orderpriority FROM orders) o GROUP BY ALL"
+        "SELECT 'added' AS change, o.*, count(*) AS n_rows FROM"
+        " (SELECT -1 - o_orderkey AS o_orderkey, o_custkey, o_orderstatus, -o_totalprice AS o_totalprice,"
+        " o_orderdate, o_orderpriority FROM orders) o GROUP BY ALL"
     ),
     "row_diff_rewritten": (
         f"SELECT 'removed' AS change, {LINES}, 'R' AS l_returnflag, count(*) AS n_rows"

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from branchyard.errors import AuditFailed, MergeConflict
+from branchyard.errors import AuditFailed, MergeConflict, StaleHead
 from branchyard.functions.expressions import counted_once, header_line
 from branchyard.operators import audit, cleanup, merge
 from branchyard.operators.store import BranchStore
@@ -375,6 +375,26 @@ def ref_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("n_rows", F.coalesce("n_rows", F.lit(0)))
 
 
+@query
+def commit_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several puts and removes in one commit with a message, on top of a known head."""
+    box = sandbox(spark, sf_dir)
+    box.load("orders", "customer")
+    branch = box.branch("committed")
+    state = box.store.state(branch.ref)
+    changes = {"shop.archive": state["tables"]["shop.orders"], "shop.customer": None}
+    box.store.commit(branch.ref, "archive the orders", changes, expected_hash=state["hash"])
+    try:
+        box.store.commit(branch.ref, "late", changes, expected_hash=state["hash"])
+        raise AssertionError("the commit should have been rejected")
+    except StaleHead:
+        pass
+    counts = audit.count_rows(box.store, [branch.ref])
+    kept = counts.filter(F.col("table").isin("shop.archive", "shop.orders", "shop.customer"))
+    message = box.store.state(branch.ref)["message"]
+    return kept.select(F.lit(message).alias("message"), "table", "n_rows")
+
+
 @query
 def commit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.commit_log(workflow(spark, sf_dir).store, "experiment").drop("hash")
