@@ -64,16 +64,19 @@ def count_tables(store: BranchStore, states: Sequence[dict], labels: Sequence[st
     ]
     fields = ", ".join(f"`{label}` string" for label in labels)
     named = rows_frame(store.spark, places, f"{fields}, `table` string, content_id string")
-    contents = store.contents_of({place["content_id"] for place in places})
-    held = {(c.table_id, b) for c in contents for b in c.batches or ()}
-    if len(held) <= store.path_limit and all(c.batches is not None for c in contents):
+    ids = {place["content_id"] for place in places}
+    contents = store.contents_of(ids) if len(ids) <= store.path_limit else []
+    held = {(c.table_id, batch) for c in contents for batch in c.batches or ()}
+    if contents and len(held) <= store.path_limit and all(c.batches is not None for c in contents):
         lists = [
-            {"content_id": c.content_id, "table_id": c.table_id, "_batch": b} for c in contents for b in c.batches
+            {"content_id": c.content_id, "table_id": c.table_id, "_batch": batch}
+            for c in contents
+            for batch in c.batches
         ]
         lists = rows_frame(store.spark, lists, "content_id string, table_id string, _batch string")
         counts = named_batch_counts(store, sorted(held))
     else:
-        lists = store.content_rows(c.content_id for c in contents)
+        lists = store.content_rows(ids)
         lists = lists.select("content_id", "table_id", F.explode("batches").alias("_batch"))
         counts = batch_counts(store, lists.select("table_id", "_batch").distinct())
     per_content = (

@@ -119,10 +119,12 @@ def three_way_rows(base: DataFrame, ours: DataFrame, theirs: DataFrame, keys: Se
     ``verdict`` is ``same``, ``ours``, ``theirs`` or ``conflict``. Equal changes on
     both sides are no conflict. A key that a side holds twice is an error.
     """
-    names = ours.columns
-    rest = [name for name in names if name not in keys]
-    # a marker column keeps a present row apart from a missing one, also without other columns
-    row = F.struct(F.lit(True).alias("present"), *[F.col(quoted(n)) for n in rest])
+    taken = {*SIDES, "verdict", "_side", "_row", "_copies"}.intersection(keys)
+    if taken:
+        raise ValueError(f"key columns cannot be named {sorted(taken)}")
+    rest = [F.col(quoted(name)) for name in ours.columns if name not in keys]
+    # without other columns a row is only there or not
+    row = F.struct(*rest) if rest else F.struct(F.lit(True).alias("present"))
     key_columns = [F.col(quoted(k)) for k in keys]
     frames = {"base": base, "ours": ours, "theirs": theirs}
     stacked = None
@@ -180,8 +182,7 @@ def conflicting_rows(compared: DataFrame, keys: Sequence[str]) -> DataFrame:
     A side without the row has NULL there.
     """
     rows = compared.filter(F.col("verdict") == "conflict")
-    sides = [F.col(side).dropFields("present").alias(side) for side in SIDES]
-    return rows.select([F.col(quoted(k)) for k in keys] + sides)
+    return rows.select([F.col(quoted(k)) for k in keys] + [F.col(side) for side in SIDES])
 
 
 def compare_by_key(

@@ -14,6 +14,7 @@ it began, but the check and the publishing row are not one atomic step.
 from __future__ import annotations
 
 import re
+from collections import OrderedDict
 from collections.abc import Callable, Iterable, Sequence
 from urllib.parse import quote
 
@@ -32,6 +33,8 @@ from branchyard.session import no_rows, rows_frame
 
 REF_NAME = re.compile(r"[A-Za-z0-9][A-Za-z0-9_.-]*")
 COMMIT_HASH = re.compile(r"[0-9a-f]{64}")
+#: metadata rows that a store object keeps of each kind
+KEPT = 1000
 TABLE_KEY = re.compile(r"[A-Za-z0-9_]+\.[A-Za-z0-9_]+")
 
 
@@ -41,6 +44,14 @@ def newest(moves: DataFrame) -> dict | None:
     return rows[0].asDict() if rows else None
 
 
+def keep(known: OrderedDict, name: str, value):
+    """Remember a metadata row; the oldest of more than ``KEPT`` goes."""
+    known[name] = value
+    if len(known) > KEPT:
+        known.popitem(last=False)
+    return value
+
+
 class BranchStore:
     """The store at ``root``; ``BranchStore.start`` makes a new one.
 
@@ -63,8 +74,8 @@ class BranchStore:
         self.default = default
         self.path_limit = path_limit
         self.broadcast_limit = broadcast_limit
-        self._contents: dict[str, Content] = {}
-        self._commits: dict[str, dict] = {}
+        self._contents: OrderedDict[str, Content] = OrderedDict()
+        self._commits: OrderedDict[str, dict] = OrderedDict()
 
     @classmethod
     def start(cls, spark: SparkSession, root: str, default: str = "main", **options) -> BranchStore:
@@ -94,13 +105,14 @@ class BranchStore:
 
     def commits_of(self, hashes: Iterable[str]) -> dict[str, dict]:
         """Some commits by hash. They never change, so a known one is not read again."""
-        unknown = sorted(set(hashes) - self._commits.keys())
+        commits = {name: self._commits.get(name) for name in hashes}
+        unknown = sorted(name for name, commit in commits.items() if commit is None)
         if unknown:
             paths = [f"{self.root}/commits/{name}" for name in unknown]
             files = self.spark.read.schema(lg.COMMIT_SCHEMA)
             for row in self._found(lambda: files.parquet(*paths), ", ".join(unknown)).collect():
-                self._commits[row["hash"]] = row.asDict()
-        return {name: self._commits[name] for name in hashes}
+                commits[row["hash"]] = keep(self._commits, row["hash"], row.asDict())
+        return commits
 
     def history(self, state: dict) -> DataFrame:
         """The commits that a state includes, itself among them."""
@@ -176,13 +188,13 @@ class BranchStore:
 
     def contents_of(self, ids: Iterable[str]) -> list[Content]:
         """Several versions, the unknown ones from a single read."""
-        wanted = sorted(set(ids))
-        unknown = [i for i in wanted if i not in self._contents]
+        contents = {i: self._contents.get(i) for i in sorted(set(ids))}
+        unknown = [i for i, content in contents.items() if content is None]
         if unknown:
             short = F.when(F.col("n_batches") <= self.path_limit, F.col("batches"))
             for row in self.content_rows(unknown).withColumn("batches", short).collect():
-                self._contents[row["content_id"]] = Content.from_row(row)
-        return [self._contents[i] for i in wanted]
+                contents[row["content_id"]] = keep(self._contents, row["content_id"], Content.from_row(row))
+        return list(contents.values())
 
     def content_at(self, state: dict, key: str) -> Content:
         content_id = state["tables"].get(key)
@@ -201,7 +213,7 @@ class BranchStore:
         """Write a commit before a move points at it."""
         frame = rows_frame(self.spark, [commit], lg.COMMIT_SCHEMA)
         frame.write.mode("overwrite").parquet(f"{self.root}/commits/{commit['hash']}")
-        self._commits[commit["hash"]] = commit
+        keep(self._commits, commit["hash"], commit)
 
     def save_content(self, new: Content, old: Content | None = None, batch: str | None = None) -> str:
         """Write a version row before a commit names it.
@@ -221,7 +233,7 @@ class BranchStore:
             frame = rows_frame(self.spark, [new.as_row()], CONTENT_SCHEMA)
         frame.write.mode("overwrite").parquet(f"{self.root}/contents/{content_id}")
         if new.n_batches <= self.path_limit:
-            self._contents[content_id] = new
+            keep(self._contents, content_id, new)
         return content_id
 
     def commit(
