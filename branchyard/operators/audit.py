@@ -136,7 +136,7 @@ def commit_log(store: BranchStore, ref: str, with_rows: bool = True) -> DataFram
     ``rows_added`` counts the rows of the batches that the commit's tables have
     and the same tables at its first parent do not; without it no data is read.
     """
-    commits = store.history(store.state(ref))
+    commits = store.history(store.state(ref)["seen"])
     if not with_rows:
         return commits.select("depth", "hash", "message")
     parents = commits.select(F.col("hash").alias("parent"), F.col("tables").alias("had"))

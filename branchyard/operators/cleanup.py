@@ -15,11 +15,11 @@ if TYPE_CHECKING:
 
 def reachable_batches(store: BranchStore) -> DataFrame:
     """table_id, _batch of every commit in the history of a live ref."""
-    reach: dict[str, int] = {}
+    reach: dict[str, dict] = {}
     for state in store.live_states():
         for lane, last in state["seen"].items():
-            reach[lane] = max(last, reach.get(lane, -1))
-    commits = store.history({"seen": reach})
+            reach[lane] = max(last, reach.get(lane, last), key=lambda entry: entry["pos"])
+    commits = store.history(reach)
     ids = commits.select(F.explode(F.map_values("tables")).alias("content_id")).distinct()
     contents = store.all_contents().join(ids, "content_id", "left_semi")
     return contents.select("table_id", F.explode("batches").alias("_batch")).distinct()

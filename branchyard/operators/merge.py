@@ -21,13 +21,12 @@ if TYPE_CHECKING:
 
 
 def merge_base(store: BranchStore, a: dict, b: dict) -> dict:
-    """The deepest commit that both states include: one filter over the commits."""
+    """The last commit that both states include."""
     if lg.includes(a, b):
         return b
     if lg.includes(b, a):
         return a
-    common = store.history(a).filter(lg.included_in(b)).select("depth", "hash")
-    return store.state(common.orderBy(F.desc("depth"), F.desc("hash")).first()["hash"])
+    return store.commit_of_lane(*lg.last_common(a, b))
 
 
 def three_way_tables(base: dict, source: dict, target: dict) -> tuple[dict, list[str]]:

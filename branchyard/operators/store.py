@@ -98,6 +98,16 @@ class BranchStore:
         files = self.spark.read.schema(lg.MOVE_SCHEMA).option("basePath", ledger)
         return self._found(lambda: files.parquet(f"{ledger}/ref={ref}"), ref)
 
+    def _moves_if_any(self, ref: str) -> DataFrame:
+        """All moves of a ref that may never have existed.
+
+        The pattern also names the default ref, so that it always finds a folder;
+        the filter on the folder's name then reads none of its files.
+        """
+        ledger = f"{self.root}/ledger"
+        files = self.spark.read.schema(lg.MOVE_SCHEMA).option("basePath", ledger)
+        return files.parquet(f"{ledger}/ref={{{ref},{self.default}}}").filter(F.col("ref") == ref)
+
     def commits(self) -> DataFrame:
         """Every commit, also of dropped refs."""
         files = self.spark.read.schema(lg.COMMIT_SCHEMA).option("recursiveFileLookup", True)
@@ -111,12 +121,17 @@ class BranchStore:
             paths = [f"{self.root}/commits/{name}" for name in unknown]
             files = self.spark.read.schema(lg.COMMIT_SCHEMA)
             for row in self._found(lambda: files.parquet(*paths), ", ".join(unknown)).collect():
-                commits[row["hash"]] = keep(self._commits, row["hash"], row.asDict())
+                commits[row["hash"]] = keep(self._commits, row["hash"], row.asDict(recursive=True))
         return commits
 
-    def history(self, state: dict) -> DataFrame:
-        """The commits that a state includes, itself among them."""
-        return self.commits().filter(lg.included_in(state))
+    def commit_of_lane(self, lane: str, pos: int) -> dict:
+        """The commit made at a position of a lane, found through its ref's moves."""
+        ref = lane.rpartition(".")[0]
+        return self.state(self.moves(ref).filter(F.col("seq") == pos).first()["hash"])
+
+    def history(self, seen: dict[str, dict]) -> DataFrame:
+        """The commits that a state with this ``seen`` includes, itself among them."""
+        return self.commits().filter(lg.included_in(seen))
 
     @staticmethod
     def _found(read: Callable[[], DataFrame], name: str) -> DataFrame:
@@ -288,7 +303,7 @@ class BranchStore:
         """A new ref at the source's head, or at an older commit of it. Copies no rows."""
         if not REF_NAME.fullmatch(name) or COMMIT_HASH.fullmatch(name):
             raise ValueError(f"not a ref name: {name!r}")
-        last = newest(self.ledger().filter(F.col("ref") == name))
+        last = newest(self._moves_if_any(name))
         if last is not None and last["action"] != "dropped":
             raise AlreadyExists(name)
         state = self.ref_state(source or self.default)

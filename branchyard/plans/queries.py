@@ -13,8 +13,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 from branchyard.errors import AuditFailed, MergeConflict, StaleHead
 from branchyard.functions.expressions import counted_once, header_line
 from branchyard.operators import audit, cleanup, merge
-from branchyard.operators.store import BranchStore
 from branchyard.plans.workflow import (
+    dropped_refs,
     given,
     history,
     newer,
@@ -329,22 +329,6 @@ def list_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.list_refs().select("ref_type", F.col("name").alias("ref")).join(counts, "ref", "left")
 
 
-def dropped_refs(spark: SparkSession, sf_dir: str) -> BranchStore:
-    """A store after cleaning up: `dev` was merged, `experiment` was not."""
-    store = BranchStore.start(spark, work_folder(spark, "dropped"))
-    store.create_namespace("shop")
-    for ref, name in (("dev", "customer"), ("experiment", "orders")):
-        rows = given(spark, sf_dir, name)
-        store.create_ref(ref)
-        store.at(ref).create_table(f"shop.{name}", rows.schema)
-        store.at(ref).append(f"shop.{name}", rows)
-        if ref == "dev":
-            store.merge_ref(ref)
-    store.drop_ref("dev")
-    store.drop_ref("experiment")
-    return store
-
-
 @query
 def drop_ref(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = dropped_refs(spark, sf_dir)

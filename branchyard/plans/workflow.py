@@ -119,6 +119,22 @@ class Sandbox:
         return self.store.at(ref)
 
 
+def drop_refs(spark: SparkSession, sf_dir: str) -> BranchStore:
+    """A store after cleaning up: `dev` was merged, `experiment` was not."""
+    store = BranchStore.start(spark, work_folder(spark, "dropped"))
+    store.create_namespace("shop")
+    for ref, name in (("dev", "customer"), ("experiment", "orders")):
+        rows = given(spark, sf_dir, name)
+        store.create_ref(ref)
+        store.at(ref).create_table(f"shop.{name}", rows.schema)
+        store.at(ref).append(f"shop.{name}", rows)
+        if ref == "dev":
+            store.merge_ref(ref)
+    store.drop_ref("dev")
+    store.drop_ref("experiment")
+    return store
+
+
 _kept: dict[tuple, object] = {}
 
 
@@ -136,3 +152,7 @@ def workflow(spark: SparkSession, sf_dir: str) -> Workflow:
 
 def sandbox(spark: SparkSession, sf_dir: str) -> Sandbox:
     return _once(spark, sf_dir, Sandbox)
+
+
+def dropped_refs(spark: SparkSession, sf_dir: str) -> BranchStore:
+    return _once(spark, sf_dir, drop_refs)
