@@ -51,22 +51,35 @@ def named_batch_counts(store: BranchStore, batches: Sequence[tuple[str, str]]) -
     return rows_per_batch(files.parquet(*paths))
 
 
-def count_tables(store: BranchStore, states: Sequence[dict], labels: Sequence[str]) -> DataFrame:
-    """The labels, table and n_rows of every table of several states.
+def count_tables(
+    store: BranchStore, states: Sequence[dict], labels: Sequence[str], keys: Sequence[str] | None = None
+) -> DataFrame:
+    """The labels, table and n_rows of every table (or of ``keys``) of several states.
 
-    A batch that several states share is counted once.
+    A batch that several states share is counted once. Few tables and batches are
+    named in the plan; longer lists are read from the store's metadata by Spark.
     """
+    wanted = None if keys is None else set(keys)
     places = [
         {**{label: state[label] for label in labels}, "table": key, "content_id": content_id}
         for state in states
         for key, content_id in state["tables"].items()
-        if content_id != lg.NAMESPACE
+        if content_id != lg.NAMESPACE and (wanted is None or key in wanted)
     ]
-    fields = ", ".join(f"`{label}` string" for label in labels)
-    named = rows_frame(store.spark, places, f"{fields}, `table` string, content_id string")
     ids = {place["content_id"] for place in places}
     contents = store.contents_of(ids) if len(ids) <= store.path_limit else []
     held = {(c.table_id, batch) for c in contents for batch in c.batches or ()}
+    fields = ", ".join(f"`{label}` string" for label in labels)
+    if len(places) <= store.path_limit:
+        named = rows_frame(store.spark, places, f"{fields}, `table` string, content_id string")
+    else:
+        heads = [{**{label: state[label] for label in labels}, "hash": state["hash"]} for state in states]
+        commits = store.commit_rows({state["hash"] for state in states})
+        tables = commits.select("hash", F.explode("tables").alias("table", "content_id"))
+        tables = tables.filter(F.col("content_id") != lg.NAMESPACE)
+        if keys is not None:
+            tables = tables.filter(F.col("table").isin(list(keys)))
+        named = rows_frame(store.spark, heads, f"{fields}, hash string").join(tables, "hash").drop("hash")
     if contents and len(held) <= store.path_limit and all(c.batches is not None for c in contents):
         lists = [
             {"content_id": c.content_id, "table_id": c.table_id, "_batch": batch}
@@ -76,8 +89,9 @@ def count_tables(store: BranchStore, states: Sequence[dict], labels: Sequence[st
         lists = rows_frame(store.spark, lists, "content_id string, table_id string, _batch string")
         counts = named_batch_counts(store, sorted(held))
     else:
-        lists = store.content_rows(ids)
-        lists = lists.select("content_id", "table_id", F.explode("batches").alias("_batch"))
+        rows = store.content_rows(ids) if len(ids) <= store.path_limit else store.all_contents()
+        rows = rows.join(named.select("content_id").distinct(), "content_id", "left_semi")
+        lists = rows.select("content_id", "table_id", F.explode("batches").alias("_batch"))
         counts = batch_counts(store, lists.select("table_id", "_batch").distinct())
     per_content = (
         lists.join(counts, ["table_id", "_batch"]).groupBy("content_id").agg(F.sum("n_rows").alias("n_rows"))

@@ -94,11 +94,8 @@ def conflicting_tables(store: BranchStore, source_ref: str, target_ref: str) ->
     base = merge_base(store, source, target)
     _, conflicts = three_way_tables(base, source, target)
     sides = {"base": base, "source": source, "target": target}
-    states = [
-        {"side": name, "tables": {k: v for k, v in side["tables"].items() if k in conflicts}}
-        for name, side in sides.items()
-    ]
-    counts = count_tables(store, states, ["side"])
+    states = [{**state, "side": name} for name, state in sides.items()]
+    counts = count_tables(store, states, ["side"], keys=conflicts)
     wide = counts.groupBy("table").pivot("side", list(sides)).agg(F.first("n_rows"))
     return wide.select("table", *[F.col(name).alias(f"rows_{name}") for name in sides])
 

@@ -113,14 +113,18 @@ class BranchStore:
         files = self.spark.read.schema(lg.COMMIT_SCHEMA).option("recursiveFileLookup", True)
         return files.parquet(f"{self.root}/commits")
 
+    def commit_rows(self, hashes: Iterable[str]) -> DataFrame:
+        """Some commits by hash, read from their own folders."""
+        paths = [f"{self.root}/commits/{name}" for name in sorted(set(hashes))]
+        files = self.spark.read.schema(lg.COMMIT_SCHEMA)
+        return self._found(lambda: files.parquet(*paths), ", ".join(sorted(set(hashes))))
+
     def commits_of(self, hashes: Iterable[str]) -> dict[str, dict]:
         """Some commits by hash. They never change, so a known one is not read again."""
         commits = {name: self._commits.get(name) for name in hashes}
         unknown = sorted(name for name, commit in commits.items() if commit is None)
         if unknown:
-            paths = [f"{self.root}/commits/{name}" for name in unknown]
-            files = self.spark.read.schema(lg.COMMIT_SCHEMA)
-            for row in self._found(lambda: files.parquet(*paths), ", ".join(unknown)).collect():
+            for row in self.commit_rows(unknown).collect():
                 commits[row["hash"]] = keep(self._commits, row["hash"], row.asDict(recursive=True))
         return commits
 

@@ -94,3 +94,16 @@ def test_work_folder_is_the_shared_one(spark):
     assert folder != work_folder(spark, "x")
     if shared:
         assert folder.startswith(shared)
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    class Conf:
+        def get(self, name, default=None):
+            return default
+
+    class Session:
+        conf = Conf()
+        sparkContext = type("Context", (), {"master": "spark://somewhere"})
+
+    with pytest.raises(RuntimeError):
+        work_folder(Session(), "x")

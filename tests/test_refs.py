@@ -219,6 +219,9 @@ def test_long_batch_lists_stay_in_spark(spark, store):
         assert sorted(r["k"] for r in reader.table("a.t@l1").collect()) == expected
         counts = {r["table"]: r["n_rows"] for r in audit.count_rows(reader, ["l1", "main"]).filter("ref = 'l1'").collect()}
         assert counts == {"a.t": 14, "a.u": 10}
+        states = [{**reader.state(r), "name": r} for r in ("l1", "main")]
+        some = audit.count_tables(reader, states, ["name"], keys=["a.u"]).collect()
+        assert sorted(tuple(r) for r in some) == [("l1", "a.u", 10), ("main", "a.u", 10)]
         diff = audit.row_diff(reader, "a.t", "main", "l1").collect()
         assert sorted((r["change"], r["k"], r["n_rows"]) for r in diff) == [
             ("added", 0, 1), ("added", 1, 1), ("added", 2, 1), ("added", 77, 1),
