@@ -102,5 +102,6 @@ def latest_per_ref(moves: DataFrame) -> DataFrame:
     ``max_by`` combines on the map side, so a ref with most of the ledger's
     rows does not end in one task.
     """
-    last = moves.groupBy("ref").agg(F.max_by(F.struct(*moves.columns), "seq").alias("last"))
+    order = F.struct("seq", "hash")
+    last = moves.groupBy("ref").agg(F.max_by(F.struct(*moves.columns), order).alias("last"))
     return last.select("last.*").filter(F.col("action") != "dropped")

@@ -39,8 +39,11 @@ TABLE_KEY = re.compile(r"[A-Za-z0-9_]+\.[A-Za-z0-9_]+")
 
 
 def newest(moves: DataFrame) -> dict | None:
-    """The last of the moves of one ref, also if it says that the ref is dropped."""
-    rows = moves.orderBy(F.desc("seq")).limit(1).collect()
+    """The last of the moves of one ref, also if it says that the ref is dropped.
+
+    Should two writers have made the same move, all readers agree on one of them.
+    """
+    rows = moves.orderBy(F.desc("seq"), F.desc("hash")).limit(1).collect()
     return rows[0].asDict() if rows else None
 
 
@@ -131,7 +134,7 @@ class BranchStore:
     def commit_of_lane(self, lane: str, pos: int) -> dict:
         """The commit made at a position of a lane, found through its ref's moves."""
         ref = lane.rpartition(".")[0]
-        return self.state(self.moves(ref).filter(F.col("seq") == pos).first()["hash"])
+        return self.state(newest(self.moves(ref).filter(F.col("seq") == pos))["hash"])
 
     def history(self, seen: dict[str, dict]) -> DataFrame:
         """The commits that a state with this ``seen`` includes, itself among them."""
