@@ -198,31 +198,29 @@ def row_diff(store: BranchStore, key: str, old_ref: str, new_ref: str) -> DataFr
     return net.select(change.alias("change"), *columns, F.abs("_net").alias("n_rows"))
 
 
-def schema_diff(store: BranchStore, key: str, ref: str, other: str) -> DataFrame:
-    """column, type_<ref>, type_<other>, values_<ref>, values_<other>.
+def schema_diff(store: BranchStore, key: str, ref: str, other: str, with_values: bool = False) -> DataFrame:
+    """column, type_<ref>, type_<other>: the types of a table's columns at two refs.
 
-    A side without the column has a NULL type and 0 values; values are the
-    non-NULL ones, counted in one pass per side.
+    A side without the column has a NULL type. Only metadata is read, unless
+    ``with_values`` asks for values_<ref> and values_<other>, the numbers of
+    non-NULL values: one pass over each side.
     """
-    sides = None
-    for name in (ref, other):
-        rows = store.at(name).table(key)
+    tables = {name: store.at(name).table(key) for name in (ref, other)}
+    types = {name: {f.name: f.dataType.simpleString() for f in rows.schema.fields} for name, rows in tables.items()}
+    columns = sorted({*types[ref], *types[other]})
+    listed = [{"column": c, "a": types[ref].get(c), "b": types[other].get(c)} for c in columns]
+    diff = rows_frame(store.spark, listed, "`column` string, a string, b string")
+    diff = diff.toDF("column", f"type_{ref}", f"type_{other}")
+    if not with_values:
+        return diff
+    for name, rows in tables.items():
         counts = rows.agg(*[F.count(quoted(c)).alias(c) for c in rows.columns])
         fields = [
-            F.struct(
-                F.lit(f.name).alias("column"),
-                F.lit(f.dataType.simpleString()).alias(f"type_{name}"),
-                F.col(quoted(f.name)).alias(f"values_{name}"),
-            )
-            for f in rows.schema.fields
+            F.struct(F.lit(c).alias("column"), F.col(quoted(c)).alias(f"values_{name}")) for c in rows.columns
         ]
-        side = counts.select(F.inline(F.array(*fields)))
-        sides = side if sides is None else sides.join(side, "column", "full_outer")
-    return sides.select(
-        "column",
-        *[F.col(quoted(f"type_{r}")) for r in (ref, other)],
-        *[F.coalesce(F.col(quoted(f"values_{r}")), F.lit(0)).alias(f"values_{r}") for r in (ref, other)],
-    )
+        diff = diff.join(counts.select(F.inline(F.array(*fields))), "column", "left")
+        diff = diff.withColumn(f"values_{name}", F.coalesce(F.col(quoted(f"values_{name}")), F.lit(0)))
+    return diff
 
 
 # ---- the gate ------------------------------------------------------------------

@@ -525,7 +525,7 @@ def row_diff_rewritten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def schema_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.schema_diff(workflow(spark, sf_dir).store, "shop.customer", "main", "dev")
+    return audit.schema_diff(workflow(spark, sf_dir).store, "shop.customer", "main", "dev", with_values=True)
 
 
 def lineitem_rules(source: DataFrame) -> list[audit.Rule]:

@@ -14,17 +14,13 @@ from branchyard import BranchStore, UnknownRef, UnknownTable
 from branchyard.operators import audit
 from branchyard.sources import csv_with_header, csv_without_header, temp_view
 
-# fixed values: table columns, rows per file, rows per literal insert
-SALARIES = "Season STRING, Team STRING, Salary STRING, Player STRING"
-TOTALS = (
-    "Season STRING, Age STRING, Team STRING, ORB STRING, DRB STRING, TRB STRING, AST STRING, STL STRING,"
-    " BLK STRING, TOV STRING, PTS STRING, Player STRING, RSorPO STRING"
-)
-ALLSTAR = (
-    "Season STRING, Age STRING, Team STRING, ORB STRING, TRB STRING, AST STRING, STL STRING, BLK STRING,"
-    " TOV STRING, PF STRING, PTS STRING, Player STRING"
-)
-FILES = {"salaries": (SALARIES, 50), "totals_stats": (TOTALS, 92), "allstar_games_stats": (ALLSTAR, 47)}
+STATS = [f"S{i} STRING" for i in range(1, 9)]
+PAY = "Season STRING, Team STRING, Pay STRING, Player STRING"
+TOTALS = ", ".join(["Season STRING", "Age STRING", "Team STRING", *STATS, "Player STRING", "Part STRING"])
+GUESTS = ", ".join(["Season STRING", "Age STRING", "Team STRING", *STATS, "Player STRING"])
+
+# fixed values: the rows of each file, from which all expected counts follow
+FILES = {"pay": (PAY, 50), "totals": (TOTALS, 92), "guests": (GUESTS, 47)}
 
 FOUR_ROWS = [(f"{year}-{year % 100 + 1}", "Some Team", f"${year}000", "Some Player") for year in range(2017, 2021)]
 
@@ -60,14 +56,14 @@ def with_header(spark, files, tmp_path_factory):
     def view(name):
         return temp_view(csv_with_header(spark, str(files / f"{name}.csv")), f"{name}_file")
 
-    store.create_namespace("nba")
+    store.create_namespace("league")
     seen["created"] = store.create_ref("dev").toPandas()
     seen["heads at first"] = {r["name"]: r["hash"] for r in store.list_refs().collect()}
     dev = store.at("dev")
-    for name in ("salaries", "totals_stats"):
-        dev.create_table(f"nba.{name}", FILES[name][0])
-        seen["insert"] = dev.append(f"nba.{name}", view(name)).toPandas()
-        audit.require_reconciled(store.table(f"nba.{name}@dev"), spark.table(f"{name}_file"))
+    for name in ("pay", "totals"):
+        dev.create_table(f"league.{name}", FILES[name][0])
+        seen["insert"] = dev.append(f"league.{name}", view(name)).toPandas()
+        audit.require_reconciled(store.table(f"league.{name}@dev"), spark.table(f"{name}_file"))
     seen["main before"], seen["dev before"] = store.at("main").table_keys(), dev.table_keys()
     seen["heads before"] = {r["name"]: r["hash"] for r in store.list_refs().collect()}
     store.merge_ref("dev")
@@ -76,40 +72,40 @@ def with_header(spark, files, tmp_path_factory):
 
     store.create_ref("etl")
     etl = store.at("etl")
-    etl.append_values("nba.salaries", FOUR_ROWS)
-    etl.drop_column("nba.totals_stats", "Age")
-    etl.create_table("nba.allstar_games_stats", ALLSTAR)
-    etl.append("nba.allstar_games_stats", view("allstar_games_stats"))
+    etl.append_values("league.pay", FOUR_ROWS)
+    etl.drop_column("league.totals", "Age")
+    etl.create_table("league.guests", GUESTS)
+    etl.append("league.guests", view("guests"))
     seen["main during etl"], seen["etl"] = counts(store, "main"), counts(store, "etl")
     store.merge_ref("etl")
     seen["main after etl"] = counts(store, "main")
 
     store.create_ref("experiment")
     experiment = store.at("experiment")
-    experiment.drop_table("nba.totals_stats")
-    experiment.append_values("nba.salaries", FOUR_ROWS)
+    experiment.drop_table("league.totals")
+    experiment.append_values("league.pay", FOUR_ROWS)
     return store, seen
 
 
 def test_goldens_with_header(with_header):
     store, seen = with_header
-    assert seen["main after dev"] == {"nba.salaries": 50, "nba.totals_stats": 92}
+    assert seen["main after dev"] == {"league.pay": 50, "league.totals": 92}
     assert seen["main during etl"] == seen["main after dev"]
     assert seen["main after etl"] == {
-        "nba.salaries": 54, "nba.totals_stats": 92, "nba.allstar_games_stats": 47,
+        "league.pay": 54, "league.totals": 92, "league.guests": 47,
     }
     assert seen["etl"] == seen["main after etl"]
     assert counts(store, "main") == seen["main after etl"]
-    assert counts(store, "experiment") == {"nba.salaries": 58, "nba.allstar_games_stats": 47}
+    assert counts(store, "experiment") == {"league.pay": 58, "league.guests": 47}
 
 
 def test_sql_count_prints_like_an_engine(spark, with_header):
     store, _ = with_header
     store.at("experiment").create_views(current=False)
     store.at("main").create_views()
-    on_experiment = spark.sql("select count(*) from `salaries@experiment`").toPandas()
+    on_experiment = spark.sql("select count(*) from `pay@experiment`").toPandas()
     assert str(on_experiment) == "   count(1)\n0        58"
-    on_main = spark.sql("select count(*) from salaries").toPandas()
+    on_main = spark.sql("select count(*) from pay").toPandas()
     assert str(on_main) == "   count(1)\n0        54"
 
 
@@ -133,83 +129,83 @@ def test_refs_are_listed_with_their_heads(with_header):
 def test_main_is_isolated_until_the_merge(with_header):
     _, seen = with_header
     assert seen["main before"] == []
-    assert seen["dev before"] == ["nba.salaries", "nba.totals_stats"]
+    assert seen["dev before"] == ["league.pay", "league.totals"]
 
 
 def test_dropped_column_is_gone_on_merged_refs_only(with_header):
     store, _ = with_header
-    assert store.table("nba.totals_stats@dev").columns == names(TOTALS)
-    assert store.table("nba.totals_stats").columns == [n for n in names(TOTALS) if n != "Age"]
+    assert store.table("league.totals@dev").columns == names(TOTALS)
+    assert store.table("league.totals").columns == [n for n in names(TOTALS) if n != "Age"]
     changes = {r["column"]: (r["type_main"], r["type_dev"]) for r in
-               audit.schema_diff(store, "nba.totals_stats", "main", "dev").collect()}
-    assert changes["Age"] == (None, "string") and changes["PTS"] == ("string", "string")
+               audit.schema_diff(store, "league.totals", "main", "dev").collect()}
+    assert changes["Age"] == (None, "string") and changes["S8"] == ("string", "string")
 
 
 def test_empty_fields_are_null(with_header):
-    rows = with_header[0].table("nba.allstar_games_stats")
-    row = rows.selectExpr("count(*) AS n", "count(ORB) AS orb", "count(Season) AS season").first()
+    rows = with_header[0].table("league.guests")
+    row = rows.selectExpr("count(*) AS n", "count(S1) AS orb", "count(Season) AS season").first()
     assert (row["n"], row["orb"], row["season"]) == (47, 42, 47)
 
 
 def test_goldens_with_the_header_as_a_row(spark, files, tmp_path):
     """As a table environment with a declared schema reads the files; a rename instead of a column drop."""
     store = BranchStore.start(spark, str(tmp_path))
-    store.create_namespace("nba")
+    store.create_namespace("league")
     raw = {name: csv_without_header(spark, str(files / f"{name}.csv"), schema) for name, (schema, _) in FILES.items()}
     store.create_ref("dev")
-    for name in ("salaries", "totals_stats"):
-        store.at("dev").create_table(f"nba.{name}", FILES[name][0])
-        store.at("dev").append(f"nba.{name}", raw[name])
-        audit.require_reconciled(store.table(f"nba.{name}@dev").select("Season"), raw[name].select("Season"))
+    for name in ("pay", "totals"):
+        store.at("dev").create_table(f"league.{name}", FILES[name][0])
+        store.at("dev").append(f"league.{name}", raw[name])
+        audit.require_reconciled(store.table(f"league.{name}@dev").select("Season"), raw[name].select("Season"))
     store.merge_ref("dev")
     store.create_ref("etl")
     etl = store.at("etl")
-    etl.append_values("nba.salaries", FOUR_ROWS)
-    etl.rename_table("nba.totals_stats", "nba.new_totals_stats")
-    etl.create_table("nba.allstar_games_stats", ALLSTAR)
-    etl.append("nba.allstar_games_stats", raw["allstar_games_stats"])
+    etl.append_values("league.pay", FOUR_ROWS)
+    etl.rename_table("league.totals", "league.new_totals")
+    etl.create_table("league.guests", GUESTS)
+    etl.append("league.guests", raw["guests"])
     store.merge_ref("etl")
     store.create_ref("experiment")
-    store.at("experiment").drop_table("nba.new_totals_stats")
-    store.at("experiment").append_values("nba.salaries", FOUR_ROWS)
+    store.at("experiment").drop_table("league.new_totals")
+    store.at("experiment").append_values("league.pay", FOUR_ROWS)
     assert counts(store, "main") == {
-        "nba.salaries": 55, "nba.new_totals_stats": 93, "nba.allstar_games_stats": 48,
+        "league.pay": 55, "league.new_totals": 93, "league.guests": 48,
     }
-    assert counts(store, "experiment") == {"nba.salaries": 59, "nba.allstar_games_stats": 48}
+    assert counts(store, "experiment") == {"league.pay": 59, "league.guests": 48}
 
 
 def test_goldens_through_staging(spark, files, tmp_path):
     """Text files go into staging tables, which every ref sees, and from there replace the tables."""
     store = BranchStore.start(spark, str(tmp_path))
-    store.create_namespace("nba")
+    store.create_namespace("league")
     store.create_ref("dev")
-    for name in ("salaries", "totals_stats"):
+    for name in ("pay", "totals"):
         schema = FILES[name][0]
-        store.at("dev").create_table(f"nba.{name}", schema)
+        store.at("dev").create_table(f"league.{name}", schema)
         for _ in range(2):
             store.load_staging(f"{name}_temp", csv_without_header(spark, str(files / f"{name}.csv"), schema))
-        store.at("dev").overwrite(f"nba.{name}", store.staging(f"{name}_temp"))
+        store.at("dev").overwrite(f"league.{name}", store.staging(f"{name}_temp"))
     store.merge_ref("dev")
-    assert audit.require_reconciled(store.table("nba.salaries"), store.staging("salaries_temp")) == 51
+    assert audit.require_reconciled(store.table("league.pay"), store.staging("pay_temp")) == 51
     store.create_ref("etl")
-    store.at("etl").append_values("nba.salaries", FOUR_ROWS)
+    store.at("etl").append_values("league.pay", FOUR_ROWS)
     store.merge_ref("etl")
     store.create_ref("experiment")
-    store.at("experiment").append_values("nba.salaries", FOUR_ROWS)
-    store.at("main").append_values("nba.salaries", FOUR_ROWS[:1])
-    assert counts(store, "experiment")["nba.salaries"] == 59
-    assert counts(store, "main")["nba.salaries"] == 56
+    store.at("experiment").append_values("league.pay", FOUR_ROWS)
+    store.at("main").append_values("league.pay", FOUR_ROWS[:1])
+    assert counts(store, "experiment")["league.pay"] == 59
+    assert counts(store, "main")["league.pay"] == 56
     for ref in ("dev", "etl", "experiment"):
         store.drop_ref(ref)
     assert [r["name"] for r in store.list_refs().collect()] == ["main"]
-    assert counts(store, "main")["nba.salaries"] == 56
+    assert counts(store, "main")["league.pay"] == 56
 
 
 def test_unknown_names(with_header):
     store, _ = with_header
     with pytest.raises(UnknownRef):
-        store.table("nba.salaries@nowhere")
+        store.table("league.pay@nowhere")
     with pytest.raises(UnknownTable):
-        store.table("nba.nothing")
+        store.table("league.nothing")
     with pytest.raises(UnknownTable):
-        store.table("nba.totals_stats@experiment")
+        store.table("league.totals@experiment")
