@@ -47,11 +47,11 @@ def reversed_orders(orders: DataFrame) -> DataFrame:
 @dataclass
 class Workflow:
     store: BranchStore
-    #: where every ref pointed after each stage
+    #: where every ref of the workflow pointed after each stage
     stages: dict[str, list[dict]] = field(default_factory=dict)
 
-    def stage(self, name: str) -> None:
-        self.stages[name] = self.store.live_states()
+    def stage(self, name: str, *refs: str) -> None:
+        self.stages[name] = [self.store.ref_state(ref) for ref in refs]
 
 
 def run_workflow(spark: SparkSession, sf_dir: str) -> Workflow:
@@ -60,16 +60,16 @@ def run_workflow(spark: SparkSession, sf_dir: str) -> Workflow:
     work = Workflow(store)
     store.create_namespace("shop")
     store.create_ref("dev")
-    work.stage("1 branched")
+    work.stage("1 branched", "main", "dev")
 
     dev = store.at("dev")
     dev.create_table("shop.orders", orders.schema)
     dev.append("shop.orders", history(orders))
     dev.create_table("shop.customer", customer.schema)
     dev.append("shop.customer", customer)
-    work.stage("2 dev loaded")
+    work.stage("2 dev loaded", "main", "dev")
     store.merge_ref("dev")
-    work.stage("3 dev merged")
+    work.stage("3 dev merged", "main", "dev")
 
     store.create_ref("etl")
     etl = store.at("etl")
@@ -77,15 +77,15 @@ def run_workflow(spark: SparkSession, sf_dir: str) -> Workflow:
     etl.drop_column("shop.customer", "c_mktsegment")
     etl.create_table("shop.supplier", supplier.schema)
     etl.append("shop.supplier", supplier)
-    work.stage("4 etl loaded")
+    work.stage("4 etl loaded", "main", "dev", "etl")
     store.merge_ref("etl")
-    work.stage("5 etl merged")
+    work.stage("5 etl merged", "main", "dev", "etl")
 
     store.create_ref("experiment")
     experiment = store.at("experiment")
     experiment.drop_table("shop.customer")
     experiment.append("shop.orders", reversed_orders(orders))
-    work.stage("6 experiment loaded")
+    work.stage("6 experiment loaded", "main", "dev", "etl", "experiment")
     return work
 
 
