@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections.abc import Iterator
 from functools import partial
 
@@ -39,14 +40,14 @@ from branchyard.llm.common import bit_filter, column, passes, python_tasks, stor
 
 MAX_LABELLED = 20_000
 #: Entries of the learned lexicon at most, and the evidence (in nats) that each needs.
-LEXICON, EVIDENCE = 2_000, 14.0
+LEXICON, EVIDENCE = 2_000, 12.0
 BEGINNINGS = (5, 6, 7, 9)
 
-#: Plain insults, and words of the second person.
+#: Plain insults, and words of the second person, without accents.
 INSULTS = frozenset(
     """idiot idiots moron morons stupid dumb loser losers trash garbage scum pathetic worthless disgusting clown
-    jerk freak creep imbecile cretin fool dimwit vermin filth abruti imbécile crétin idiota estúpido
-    estupido imbécil basura dummkopf trottel abschaum""".split()
+    jerk freak creep imbecile cretin fool dimwit vermin filth abruti idiota estupido imbecil
+    basura dummkopf trottel abschaum""".split()
 )
 YOU = frozenset(
     """you your yours yourself u ur tu te toi ton ta tes vous votre vos du dich dir dein deine ihr euch usted
@@ -60,6 +61,12 @@ DISGUISED = re.compile(r"[^\W\d_]+(?:[0-9@$!*]+[^\W\d_]+)+")
 MARKED = re.compile(r"[^\W\d_]([#$%&*@])\1+")
 
 
+def folded(word: str) -> str:
+    """Lower case without accents, so that a word is itself with or without them."""
+    word = word.lower()
+    return word if word.isascii() else "".join(c for c in unicodedata.normalize("NFKD", word) if not unicodedata.combining(c))
+
+
 def grams(word: str) -> list[str]:
     """What of a word may be a lexicon entry: its beginnings, and the whole with a mark at its end."""
     return [word[:n] for n in BEGINNINGS if len(word) >= n] + [word + "|"]
@@ -68,10 +75,10 @@ def grams(word: str) -> list[str]:
 def features(text: str, lexicon: dict[str, float]) -> list[float]:
     """The dense features of a whole text."""
     words = WORD.findall(text)
-    low = [w.lower() for w in words]
-    n = len(words)
     if not text:
         return [0.0] * N_FEATURES
+    low = [folded(w) for w in words]
+    n = len(words)
     weight = {w: max((lexicon.get(g, 0.0) for g in grams(w)), default=0.0) for w in set(low)}
     insults = [k for k, w in enumerate(low) if w in INSULTS]
     strong = [k for k, w in enumerate(low) if weight[w] >= 3]
@@ -79,7 +86,7 @@ def features(text: str, lexicon: dict[str, float]) -> list[float]:
     hits = sorted({*insults, *strong})
     near = sum(any(w in YOU for w in low[max(0, k - NEAR) : k + NEAR + 1]) for k in hits)
     disguised = DISGUISED.findall(text)
-    uncovered = sum(w.translate(PLAIN).lower() in INSULTS for w in disguised)
+    uncovered = sum(folded(w.translate(PLAIN)) in INSULTS for w in disguised)
     letters = sum(map(len, words))
     upper = sum(map(str.isupper, text)) if letters else 0
     marks = text.count("!") + text.count("?")
@@ -105,7 +112,7 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each possible entry of a text once, with the text's label."""
     for batch in batches:
         for text, toxic in zip(column(batch, "text"), column(batch, "toxic").to_pylist()):
-            terms = list({g for w in set(WORD.findall((text.as_py() or "").lower())) for g in grams(w)})
+            terms = list({g for w in set(WORD.findall(text.as_py() or "")) for g in grams(folded(w))})
             yield pa.record_batch({"term": pa.array(terms, pa.string()), "toxic": pa.array([toxic] * len(terms), pa.int64())})
 
 
