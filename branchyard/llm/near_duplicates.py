@@ -93,11 +93,12 @@ def unpacked(values: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(values), np.uint32).reshape(-1, BANDS, PER_BAND)
 
 
-def likely(a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
-    """Which rows of two sketch arrays may come from sets with that similarity.
+def likely(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, least: float) -> np.ndarray:
+    """Which rows of two sketch arrays may come from sets (of n_a and n_b) with that similarity.
 
     In each class the values up to the smaller of the two last retained ones are a sample
-    of the union; a class that is not full is known whole.
+    of the union; a class that is not full is known whole. The sample is drawn without
+    replacement, so the error of the estimate shrinks to nothing as it nears the union.
     """
     top = np.minimum(a[:, :, -1], b[:, :, -1])[:, :, None]
     in_a, in_b = (a <= top) & (a != EMPTY), (b <= top) & (b != EMPTY)
@@ -105,9 +106,9 @@ def likely(a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
     for k in range(PER_BAND):
         both += (in_a & (a == np.roll(b, k, axis=2)) & np.roll(in_b, k, axis=2)).sum((1, 2))
     union = in_a.sum((1, 2)) + in_b.sum((1, 2)) - both
-    whole = (top[:, :, 0] == EMPTY).all(1)
-    margin = np.where(whole, 1e-9, 6 * np.sqrt(least * (1 - least) / np.maximum(union, 1)))
-    return both >= (least - margin) * union
+    unseen = np.maximum(1 - union * (1 + least) / (n_a + n_b), 0)  # of a union with that similarity
+    margin = 6 * np.sqrt(least * (1 - least) * unseen / np.maximum(union, 1))
+    return both >= (least - margin) * union - 1e-9
 
 
 def _sketched(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -135,7 +136,9 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _estimated(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
-            keep = likely(unpacked(column(batch, "sketch_a").to_pylist()), unpacked(column(batch, "sketch_b").to_pylist()), least)
+            sketches = (unpacked(column(batch, f"sketch_{side}").to_pylist()) for side in "ab")
+            sizes = (column(batch, f"n_{side}").to_numpy() for side in "ab")
+            keep = likely(*sketches, *sizes, least)
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
@@ -170,7 +173,7 @@ def _cross(left: pa.Table, least: float) -> pa.Table:
         other &= (node > node[i]) if same_block else (side == 1)
         at = np.flatnonzero(other)
         if len(at):
-            at = at[likely(np.broadcast_to(sketches[i], (len(at), BANDS, PER_BAND)), sketches[at], least)]
+            at = at[likely(np.broadcast_to(sketches[i], (len(at), BANDS, PER_BAND)), sketches[at], size[i], size[at], least)]
             shared = (keys[at] == keys[i]) & (keys[at] != 0)
             at = at[keys[i][shared.argmax(1)] == key] if len(at) else at
             out_a += [min(node[i], x) for x in node[at]]
@@ -193,17 +196,24 @@ class NearDuplicates:
         self.classes = stored(classes.select("node", "n_shingles", "sketch"), "classes")
 
     def lists(self) -> DataFrame:
-        """Members of the inverted lists with two members or more, and the two pivots of the list."""
+        """Members of the inverted lists with two members or more, and the two pivots of the list.
+
+        One pivot is the member that meets the most others in all its lists: what the copies in
+        a group were made from is nearer to them than they are to each other. The other is drawn.
+        """
         rows = self.classes.select("node", "sketch").mapInArrow(_listed, "key long, node long")
-        drawn = F.struct(F.xxhash64("node"), "node")
-        pivots = rows.groupBy("key").agg(F.min(drawn).alias("low"), F.max(drawn).alias("high")).where("low.node <> high.node")
-        return stored(rows.join(pivots.select("key", "low.node", F.col("high.node").alias("high")).toDF("key", "low", "high"), "key"), "lists")
+        sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        rows = stored(rows.join(sizes, "key"), "members")
+        met = rows.groupBy("node").agg(F.sum("n").alias("met"))
+        drawn = F.xxhash64("node")
+        pivots = rows.join(met, "node").groupBy("key").agg(F.max(F.struct("met", drawn, "node")).alias("x"), F.min(F.struct(drawn, "node")).alias("y"))
+        return stored(rows.drop("n").join(pivots.select("key", F.col("x.node").alias("central"), F.col("y.node").alias("drawn")), "key"), "lists")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) whose sets are similar: first by the sketches, then by the whole sets."""
-        sketches = self.classes.select("node", "sketch")
+        sketches = self.classes.select("node", "n_shingles", "sketch")
         for side in "ab":
-            pairs = pairs.join(sketches.toDF(side, f"sketch_{side}"), side)
+            pairs = pairs.join(sketches.toDF(side, f"n_{side}", f"sketch_{side}"), side)
         pairs = stored(pairs.mapInArrow(partial(_estimated, least=self.least), "a long, b long"), "candidates")
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         bits = bit_filter(nodes, "node")
@@ -239,7 +249,7 @@ class NearDuplicates:
 
     def components(self) -> DataFrame:
         lists = self.lists()
-        pivoted = lists.select(F.explode(F.array("low", "high")).alias("pivot"), "node").where("pivot <> node")
+        pivoted = lists.select(F.explode(F.array("central", "drawn")).alias("pivot"), "node").where("pivot <> node")
         pairs = stored(pivoted.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct(), "pairs")
         edges = self.verified(pairs)
         rest = self.apart(lists, stored(connected(edges), "labels")).join(pairs, ["a", "b"], "left_anti")
