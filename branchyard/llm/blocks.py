@@ -4,7 +4,8 @@ Documents are taken in blocks of at most BLOCK_BYTES of text. A block numbers it
 words and keeps its documents as sequences of these numbers. Then each (block, number, word)
 is a row; the rows of all blocks are shuffled by word, so that equal words stand together,
 and each distinct word of the corpus is worked on once, whatever number of blocks use it.
-The results go back to the blocks, which put them in the place of the words.
+The results go back to the blocks, which put them in the place of the words. On their way back
+the results of many words of a block travel packed in one row.
 
 A row is a word of a block, not of a document or a place, so far fewer rows are shuffled
 than there are words. A very frequent word has one row per block, and its rows are read as a
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from branchyard.llm.common import column, python_tasks
 
 #: Bytes of text in one block: it is taken apart and put together in one task's memory.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
 
 Split = Callable[[str], list[str]]
 
@@ -102,46 +103,86 @@ def _places(batches: Iterator[pa.RecordBatch], split: Split, frequencies: bool)
 PLACES = "block long, n_words long, doc_ids array<long>, n_bytes array<long>, lengths array<int>, places binary, times binary"
 
 
-def _once(batches: Iterator[pa.RecordBatch], start: Callable[[], Callable[[list[str]], pa.Array]]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by word; ``start()`` gives what turns distinct words into results."""
+Results = tuple[np.ndarray, np.ndarray]
+Start = Callable[[], Callable[[list[str]], Results]]
+
+
+def _once(batches: Iterator[pa.RecordBatch], start: Start) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by word; ``start()`` gives what turns distinct words into results.
+
+    Results are whole numbers, as many of a word as it has: how many, and all of them in order.
+    """
     work = start()
-    last_word, last_result = None, None
+    last_word, last = None, (np.zeros(1, np.int64), np.zeros(0, np.int64))
     for batch in batches:
         if not batch.num_rows:
             continue
         words = pc.dictionary_encode(column(batch, "word"))
         distinct = words.dictionary.to_pylist()
         if distinct[0] == last_word:
-            new = work(distinct[1:])
-            results = pa.concat_arrays([last_result, new]) if len(new) else last_result
+            sizes, values = map(np.concatenate, zip(last, work(distinct[1:])))
         else:
-            results = work(distinct)
-        last_word, last_result = distinct[-1], results.slice(len(results) - 1)
-        yield pa.record_batch({"block": column(batch, "block"), "number": column(batch, "number"), "result": results.take(words.indices)})
+            sizes, values = work(distinct)
+        last_word, last = distinct[-1], (sizes[-1:], values[len(values) - sizes[-1] :])
+        at = words.indices.to_numpy()
+        block, number = column(batch, "block").to_numpy(), column(batch, "number").to_numpy()
+        order = np.lexsort((number, block))
+        at, block, number = at[order], block[order], number[order]
+        values, sizes = gathered(sizes, values, at)
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1, [len(block)]])
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        rows = [
+            {
+                "block": block[i], "n": j - i, "n_values": ends[j] - ends[i], "numbers": packed(np.diff(number[i:j], prepend=0)),
+                "sizes": packed(sizes[i:j]), "results": packed(values[ends[i] : ends[j]]),
+            }
+            for i, j in zip(cuts, cuts[1:])
+        ]
+        yield pa.RecordBatch.from_pylist(rows, RESULTS)
+
+
+RESULTS = pa.schema([("block", pa.int64()), ("n", pa.int64()), ("n_values", pa.int64()), ("numbers", pa.binary()), ("sizes", pa.binary()), ("results", pa.binary())])
+
+
+def gathered(sizes: np.ndarray, values: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The results of the words at ``places`` one after the other, and how many each has."""
+    starts, own = (np.cumsum(sizes) - sizes)[places], sizes[places]
+    ends = np.cumsum(own)
+    at = np.repeat(starts - (ends - own), own) + np.arange(ends[-1] if len(ends) else 0)
+    return values[at], own
 
 
 class Block:
-    """The documents of one block as numbers, and the result of each number."""
+    """The documents of one block as numbers, and the results of each number."""
 
     def __init__(self, places: pa.Table, results: pa.Table) -> None:
         row = places.to_pylist()[0]
-        if results.num_rows < row["n_words"]:
-            raise RuntimeError("a block of documents changed while it was read; give a written table")
         self.doc_ids, self.n_bytes = row["doc_ids"], row["n_bytes"]
         self.lengths = np.array(row["lengths"], np.int64)
         self.places = unpacked(row["places"], int(self.lengths.sum()))
         self.times = unpacked(row["times"], len(self.places)) if row["times"] is not None else None
-        numbers = results.column("number").to_numpy()
-        _, first = np.unique(numbers, return_index=True)  # a block that stands twice has its results twice
-        self.results = results.column("result").combine_chunks().take(pa.array(first))
         self.ends = np.cumsum(self.lengths)
+        nothing = np.zeros(0, np.int64)
+        numbers, sizes, values = [nothing], [nothing], [nothing]
+        for part in results.to_pylist():
+            numbers.append(np.cumsum(unpacked(part["numbers"], part["n"]).astype(np.int64)))
+            sizes.append(unpacked(part["sizes"], part["n"]).astype(np.int64))
+            values.append(unpacked(part["results"], part["n_values"]).astype(np.int64))
+        # a block that stands twice has its results twice
+        numbers, first = np.unique(np.concatenate(numbers), return_index=True)
+        if len(numbers) != row["n_words"]:
+            raise RuntimeError("a block of documents changed while it was read; give a written table")
+        self.values, self.sizes = gathered(np.concatenate(sizes), np.concatenate(values), first)
+
+    def results(self) -> tuple[np.ndarray, np.ndarray]:
+        """The results of all words of the documents in order, and how many each word has."""
+        return gathered(self.sizes, self.values, self.places)
 
 
 def once_per_word(
     docs: DataFrame,
     split: Split,
-    start: Callable[[], Callable[[list[str]], pa.Array]],
-    result_type: str,
+    start: Start,
     finish: Callable[[Block], pa.Table],
     schema: str,
     *,
@@ -159,7 +200,7 @@ def once_per_word(
     words = docs.mapInArrow(lambda batches: _words(batches, split), "block long, words array<string>")
     words = words.select("block", F.posexplode("words").alias("number", "word"))
     words = words.repartition("word").sortWithinPartitions("word")
-    results = words.mapInArrow(lambda batches: _once(batches, start), f"block long, number int, result {result_type}")
+    results = words.mapInArrow(lambda batches: _once(batches, start), "block long, n long, n_values long, numbers binary, sizes binary, results binary")
     places = docs.mapInArrow(lambda batches: _places(batches, split, frequencies), PLACES)
 
     def put_together(left, right):
@@ -171,14 +212,7 @@ def once_per_word(
     return places.groupBy("block").cogroup(results.groupBy("block")).applyInArrow(put_together, schema)
 
 
-def joined_lists(results: pa.ListArray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The lists at ``places`` one after the other, and the length of each."""
-    values, offsets = results.values.to_numpy(), results.offsets.to_numpy().astype(np.int64)
-    starts, sizes = offsets[:-1][places], np.diff(offsets)[places]
-    ends = np.cumsum(sizes)
-    at = np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
-    return values[at], sizes
-
-
-def flat(lists: list[list]) -> list:
-    return list(chain.from_iterable(lists))
+def sized(lists: list[list[int]]) -> Results:
+    """Lists as their sizes and all their numbers."""
+    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+    return sizes, np.fromiter(chain.from_iterable(lists), np.int64, int(sizes.sum()))

@@ -25,7 +25,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from branchyard.llm.blocks import Block, flat, joined_lists, once_per_word
+from branchyard.llm.blocks import Block, once_per_word, sized
 from branchyard.llm.common import column, python_tasks
 
 
@@ -87,21 +87,18 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc
         one = encoding(ranks_path, pattern)._encode_single_piece
 
         def work(words):
-            lists = [one(word.encode()) for word in words]
-            offsets = np.zeros(len(lists) + 1, np.int32)
-            np.cumsum([len(ids) for ids in lists], out=offsets[1:])
-            return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat(lists), pa.int32()))
+            return sized([one(word.encode()) for word in words])
 
         return work
 
     def finish(block: Block):
-        ids, sizes = joined_lists(block.results, block.places)
+        ids, sizes = block.results()
         ends = np.concatenate([[0], np.cumsum(sizes)])
         offsets = ends[np.concatenate([[0], block.ends])].astype(np.int32)
         return pa.table({"doc_id": pa.array(block.doc_ids, pa.int64()), "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))})
 
     split = partial(pre_tokens, pattern=pattern)
-    return once_per_word(docs, split, start, "array<int>", finish, "doc_id long, ids array<int>", id_col=id_col, text_col=text_col)
+    return once_per_word(docs, split, start, finish, "doc_id long, ids array<int>", id_col=id_col, text_col=text_col)
 
 
 def _decoded(batches, ranks_path):

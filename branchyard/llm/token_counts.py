@@ -76,12 +76,13 @@ def token_counts(docs: DataFrame, path: str, *, limit: int = 2048, id_col: str =
         made = tokenizer(path)
 
         def work(words):
-            return pa.array([len(x.ids) for x in made.encode_batch(words, add_special_tokens=False)], pa.int32())
+            counts = [len(x.ids) for x in made.encode_batch(words, add_special_tokens=False)]
+            return np.ones(len(counts), np.int64), np.array(counts, np.int64)
 
         return work
 
     def finish(block: Block):
-        products = block.results.to_numpy().astype(np.int64)[block.places] * block.times
+        products = block.results()[0] * block.times
         sums = np.concatenate([[0], np.cumsum(products)]).astype(np.int64)
         n = np.diff(sums[np.concatenate([[0], block.ends])])
         return pa.table(
@@ -89,4 +90,4 @@ def token_counts(docs: DataFrame, path: str, *, limit: int = 2048, id_col: str =
         )
 
     schema = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
-    return once_per_word(docs, partial(pieces, path=path), start, "int", finish, schema, id_col=id_col, text_col=text_col, frequencies=True)
+    return once_per_word(docs, partial(pieces, path=path), start, finish, schema, id_col=id_col, text_col=text_col, frequencies=True)

@@ -65,7 +65,8 @@ def test_a_block_that_changed_is_an_error():
     import pyarrow as pa
 
     [row] = blocks._places(iter([_batch([(1, "a b")])]), str.split, False)
-    results = pa.table({"number": pa.array([0], pa.int32()), "result": pa.array([1])})
+    one = blocks.packed(np.array([1]))
+    results = pa.Table.from_pylist([{"block": 0, "n": 1, "n_values": 1, "numbers": one, "sizes": one, "results": one}])
     with pytest.raises(RuntimeError, match="changed"):
         blocks.Block(pa.Table.from_batches([row]), results)
 
