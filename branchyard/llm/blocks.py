@@ -146,9 +146,13 @@ RESULTS = pa.schema([("block", pa.int64()), ("n", pa.int64()), ("n_values", pa.i
 
 def gathered(sizes: np.ndarray, values: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The results of the words at ``places`` one after the other, and how many each has."""
-    starts, own = (np.cumsum(sizes) - sizes)[places], sizes[places]
+    own = sizes[places]
     ends = np.cumsum(own)
-    at = np.repeat(starts - (ends - own), own) + np.arange(ends[-1] if len(ends) else 0)
+    n = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if max(n, len(values)) < 2**31 else np.int64  # half the memory
+    moved = (np.cumsum(sizes) - sizes)[places] - (ends - own)
+    at = np.repeat(moved.astype(kind), own)
+    at += np.arange(n, dtype=kind)
     return values[at], own
 
 
@@ -163,11 +167,11 @@ class Block:
         self.times = unpacked(row["times"], len(self.places)) if row["times"] is not None else None
         self.ends = np.cumsum(self.lengths)
         nothing = np.zeros(0, np.int64)
-        numbers, sizes, values = [nothing], [nothing], [nothing]
+        numbers, sizes, values = [nothing], [nothing], [nothing.astype(np.uint32)]
         for part in results.to_pylist():
             numbers.append(np.cumsum(unpacked(part["numbers"], part["n"]).astype(np.int64)))
             sizes.append(unpacked(part["sizes"], part["n"]).astype(np.int64))
-            values.append(unpacked(part["results"], part["n_values"]).astype(np.int64))
+            values.append(unpacked(part["results"], part["n_values"]))
         # a block that stands twice has its results twice
         numbers, first = np.unique(np.concatenate(numbers), return_index=True)
         if len(numbers) != row["n_words"]:

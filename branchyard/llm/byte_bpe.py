@@ -95,7 +95,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc
         ids, sizes = block.results()
         ends = np.concatenate([[0], np.cumsum(sizes)])
         offsets = ends[np.concatenate([[0], block.ends])].astype(np.int32)
-        return pa.table({"doc_id": pa.array(block.doc_ids, pa.int64()), "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))})
+        return pa.table({"doc_id": pa.array(block.doc_ids, pa.int64()), "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.view(np.int32)))})
 
     split = partial(pre_tokens, pattern=pattern)
     return once_per_word(docs, split, start, finish, "doc_id long, ids array<int>", id_col=id_col, text_col=text_col)
@@ -104,7 +104,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc
 def _decoded(batches, ranks_path):
     table = token_bytes(ranks_path)
     for batch in batches:
-        data = [None if ids is None else b"".join(map(table.__getitem__, ids)) for ids in column(batch, "ids").to_pylist()]
+        data = [b"".join(map(table.__getitem__, ids.as_py())) if ids.is_valid else None for ids in column(batch, "ids")]
         yield batch.append_column("bytes", pa.array(data, pa.binary()))
 
 
@@ -131,5 +131,6 @@ def _digested(batches):
 
 def round_trip(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): texts encoded, and their ids decoded again."""
-    decoded = decode(encode(docs, ranks_path, pattern, id_col=id_col, text_col=text_col), ranks_path)
-    return decoded.mapInArrow(_digested, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    encoded = encode(docs, ranks_path, pattern, id_col=id_col, text_col=text_col)
+    # as decode() and then digests, but in one Python worker a task instead of two
+    return encoded.mapInArrow(lambda batches: _digested(_decoded(batches, ranks_path)), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -82,7 +82,7 @@ def token_counts(docs: DataFrame, path: str, *, limit: int = 2048, id_col: str =
         return work
 
     def finish(block: Block):
-        products = block.results()[0] * block.times
+        products = block.results()[0].astype(np.int64) * block.times
         sums = np.concatenate([[0], np.cumsum(products)]).astype(np.int64)
         n = np.diff(sums[np.concatenate([[0], block.ends])])
         return pa.table(

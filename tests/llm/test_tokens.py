@@ -81,3 +81,9 @@ def test_packing_comes_back():
     for numbers in ([], [0], [1, 2, 2**32 - 1], range(70_000)):
         a = np.array(numbers, np.uint32)
         assert (blocks.unpacked(blocks.packed(a), len(a)) == a).all()
+
+
+def test_decoding_joins_the_bytes_of_tokens(spark):
+    rows = frame(spark, [(1, [0, 1, 2]), (2, []), (3, None)], "doc_id long, ids array<int>")
+    table = byte_bpe.token_bytes(RANKS)
+    assert [(r.doc_id, r.bytes) for r in byte_bpe.decode(rows, RANKS).collect()] == [(1, table[0] + table[1] + table[2]), (2, b""), (3, None)]
