@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from branchyard.errors import AuditFailed
 from branchyard.functions.expressions import counted_once, matches_fully, member_of, quoted
 from branchyard.operators import ledger as lg
+from branchyard.operators.merge import planned_merge, publish_merge
 from branchyard.session import rows_frame
 
 if TYPE_CHECKING:
@@ -190,12 +191,18 @@ def row_diff(store: BranchStore, key: str, old_ref: str, new_ref: str) -> DataFr
     names = [name for name, kind in new.columns if kinds.get(name) == kind]
     if not names:
         raise ValueError(f"the two versions of {key} have no column in common")
-    columns = [F.col(quoted(name)) for name in names]
-    removed = store.scan(old, without=new).select(*columns, F.lit(-1).cast("bigint").alias("_net"))
-    added = store.scan(new, without=old).select(*columns, F.lit(1).cast("bigint").alias("_net"))
-    net = removed.union(added).groupBy(*columns).agg(F.sum("_net").alias("_net")).filter(F.col("_net") != 0)
-    change = F.when(F.col("_net") > 0, "added").otherwise("removed")
-    return net.select(change.alias("change"), *columns, F.abs("_net").alias("n_rows"))
+    taken = {"change", "n_rows"}.intersection(name.lower() for name in names)
+    if taken:
+        raise ValueError(f"the result of a row diff has columns {sorted(taken)} itself; rename those of {key}")
+    # columns go by number within, so that they may have any name
+    inner = [f"_{n}" for n in range(len(names))]
+    columns = [F.col(quoted(name)).alias(alias) for name, alias in zip(names, inner)]
+    removed = store.scan(old, without=new).select(*columns, F.lit(-1).cast("bigint").alias("net"))
+    added = store.scan(new, without=old).select(*columns, F.lit(1).cast("bigint").alias("net"))
+    net = removed.union(added).groupBy(*inner).agg(F.sum("net").alias("net")).filter(F.col("net") != 0)
+    change = F.when(F.col("net") > 0, "added").otherwise("removed")
+    named = [F.col(alias).alias(name) for name, alias in zip(names, inner)]
+    return net.select(change.alias("change"), *named, F.abs("net").alias("n_rows"))
 
 
 def schema_diff(store: BranchStore, key: str, ref: str, other: str, with_values: bool = False) -> DataFrame:
@@ -292,16 +299,23 @@ def check(table: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 
 def publish(
-    store: BranchStore, source: str, rules: dict[str, Sequence[Rule]], into: str | None = None
+    store: BranchStore,
+    source: str,
+    rules: dict[str, Sequence[Rule]],
+    into: str | None = None,
+    by_key: dict[str, Sequence[str]] | None = None,
 ) -> DataFrame:
-    """Check tables of ``source`` and merge it only if every rule passes."""
-    base = store.head(source)
+    """Merge ``source`` only if every rule passes on the tables as the merge leaves them.
+
+    The merge's commit is made first and checked by its hash; then exactly that commit is
+    published, if neither ref moved meanwhile (else ``StaleHead``).
+    """
+    target = into or store.default_ref()
+    plan = planned_merge(store, source, target, None, by_key or {})
     failed = []
     for key, table_rules in rules.items():
-        results = check(store.at(base).table(key), table_rules)
+        results = check(store.at(plan["hash"]).table(key), table_rules)
         failed += [f"{key}: {row['rule']} ({row['n_failed']})" for row in results.filter("NOT passed").collect()]
     if failed:
         raise AuditFailed("; ".join(failed))
-    if store.head(source) != base:
-        raise AuditFailed(f"{source} moved while it was checked")
-    return store.merge_ref(source, into)
+    return store._ref_row(target, publish_merge(store, plan))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -53,12 +55,20 @@ def merge_ref(
     the side that changed it. A table changed on both sides stops the merge,
     unless its key is given and no row was changed on both sides.
     """
+    plan = planned_merge(store, source_ref, target_ref, message, by_key)
+    return publish_merge(store, plan)
+
+
+def planned_merge(
+    store: BranchStore, source_ref: str, target_ref: str, message: str | None, by_key: dict[str, Sequence[str]]
+) -> dict:
+    """The merge's commit, written but not published: its hash can be read and checked first."""
     source, target = store.ref_state(source_ref), store.ref_state(target_ref)
+    plan = {"source": source, "target": target, "hash": target["hash"], "action": None}
     if lg.includes(target, source):
-        return target["hash"]
+        return plan
     if lg.includes(source, target):
-        store._add_move(lg.next_move(target_ref, target, "forwarded", source["hash"]))
-        return source["hash"]
+        return {**plan, "hash": source["hash"], "action": "forwarded"}
     base = merge_base(store, source, target)
     changes, conflicts = three_way_tables(base, source, target)
     by_row = [key for key in conflicts if key in by_key and _on_all_sides(key, base, source, target)]
@@ -69,13 +79,21 @@ def merge_ref(
         changes[key] = merge_rows(store, key, by_key[key], base, source, target)
     tables = {key: value for key, value in {**target["tables"], **changes}.items() if value is not None}
     text = message or f"merge {source_ref} into {target_ref}"
-    now = store.ref_state(target_ref)
-    if now["hash"] != target["hash"]:
-        raise StaleHead(f"{target_ref} moved while {source_ref} was merged")
     commit = lg.new_commit([target, source], target["ref_lane"], target["seq"] + 1, text, tables)
     store.save_commit(commit)
-    store._add_move(lg.next_move(target_ref, target, "merged", commit["hash"]))
-    return commit["hash"]
+    return {**plan, "hash": commit["hash"], "action": "merged"}
+
+
+def publish_merge(store: BranchStore, plan: dict) -> str:
+    """Point the target at the planned commit; ``StaleHead`` if a side moved since it was planned."""
+    source, target = plan["source"], plan["target"]
+    for side in (source, target):
+        if store.ref_state(side["ref"])["hash"] != side["hash"]:
+            raise StaleHead(f"{side['ref']} moved while {source['ref']} was merged into {target['ref']}")
+    if plan["action"]:
+        # the move takes the number after the target's planned one, which only one writer can get
+        store._add_move(lg.next_move(target["ref"], target, plan["action"], plan["hash"]))
+    return plan["hash"]
 
 
 def _on_all_sides(key: str, *states: dict) -> bool:
@@ -192,16 +210,38 @@ def compare_by_key(
     return _compare(store, key, keys, merge_base(store, source, target), source, target)[0]
 
 
-def _shared_batches(contents: Sequence[Content]) -> list[str]:
-    """Batches that all sides hold: their rows did not change and need no comparison.
+def _shared(store: BranchStore, contents: Sequence[Content]) -> Content:
+    """A version with the batches that all sides hold: their rows did not change.
 
-    Empty if a list is too long to hold here; then all rows are compared.
+    Lists that are too long to hold here are intersected in Spark; the outcome is the same.
     """
-    if any(c.batches is None for c in contents) or len({c.table_id for c in contents}) > 1:
-        return []
-    first, *others = [c.batches for c in contents]
-    common = set(first).intersection(*others)
-    return [batch for batch in first if batch in common]
+    first, *others = contents
+    if len({c.table_id for c in contents}) > 1:
+        return first.holding()
+    if all(c.batches is not None for c in contents):
+        common = set(first.batches).intersection(*[c.batches for c in others])
+        return first.holding(*[batch for batch in first.batches if batch in common])
+    lists = store.batch_list(first)
+    for other in others:
+        lists = lists.join(store.batch_list(other), "_batch", "left_semi")
+    return store.save_listed(first, lists)
+
+
+def require_apart(own: Sequence[DataFrame], shared: DataFrame, keys: Sequence[str]) -> None:
+    """Raise if a row of a side has the key of a row in the batches that all sides share.
+
+    Only key columns are read; each side's keys are made distinct before they are shuffled.
+    """
+    key_columns = [F.col(quoted(k)) for k in keys]
+    stacked = None
+    for frame in own:
+        part = frame.select(*key_columns)
+        stacked = part if stacked is None else stacked.union(part)
+    left = stacked.distinct().toDF(*[f"_k{n}" for n in range(len(keys))])
+    right = shared.select(*key_columns).toDF(*[f"_s{n}" for n in range(len(keys))])
+    same = reduce(and_, [F.col(f"_k{n}").eqNullSafe(F.col(f"_s{n}")) for n in range(len(keys))])
+    if left.join(right, same, "left_semi").limit(1).count():
+        raise ValueError(f"rows are not unique by {list(keys)}")
 
 
 def _compare(store, key, keys, base, source, target) -> tuple[DataFrame, Content]:
@@ -213,9 +253,11 @@ def _compare(store, key, keys, base, source, target) -> tuple[DataFrame, Content
     missing = [name for name in keys if name not in ours.schema.names]
     if missing or not keys:
         raise ValueError(f"{key} cannot be merged by key {list(keys)}")
-    kept = ours.holding(*_shared_batches(sides))
+    kept = _shared(store, [ours, sides[0], sides[2]])
     frames = [store.scan(side, without=kept) for side in sides]
     require_unique(frames, keys)
+    if kept.n_batches:
+        require_apart(frames, store.scan(kept), keys)
     return three_way_rows(*frames, keys), kept
 
 
@@ -237,4 +279,4 @@ def merge_rows(
     conflicts = seen.get["conflicts"]
     if conflicts:
         raise MergeConflict(f"{conflicts} rows of {key} changed on both sides", [key])
-    return store.save_content(kept.appended(batch))
+    return store.save_content(kept.appended(batch), kept, batch)

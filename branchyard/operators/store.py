@@ -1,21 +1,23 @@
 """The store: refs over tables, all kept as Parquet below one folder.
 
-    ledger/ref=<ref>/               one short row per move of a ref
+    ledger/ref=<ref>/seq=<n>/       one short row, the n-th move of a ref
     commits/<hash>/                 one row per commit
     contents/<id>/                  one row per table version
     data/table=<id>/_batch=<id>/    the rows, never changed after the write
     staging/<name>/                 unversioned tables, seen from every ref
     streams/<lane>/<table>/<name>/  checkpoints of streams into a ref
 
-One writer per ref at a time: a write checks that its tables did not move since
-it began, but the check and the publishing row are not one atomic step.
+A move is a folder of its own, named by its number, that gets its name by a rename which
+never overwrites. Of writers that meet, one publishes; the others get ``StaleHead``.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections import OrderedDict
 from collections.abc import Callable, Iterable, Sequence
+from dataclasses import replace
 from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
@@ -29,7 +31,7 @@ from branchyard.operators import ledger as lg
 from branchyard.operators import merge as mg
 from branchyard.operators.content import CONTENT_SCHEMA, Content
 from branchyard.operators.tables import RefTables
-from branchyard.session import no_rows, rows_frame
+from branchyard.session import names_in, no_rows, publish_folder, rows_frame
 
 REF_NAME = re.compile(r"[A-Za-z0-9][A-Za-z0-9_.-]*")
 COMMIT_HASH = re.compile(r"[0-9a-f]{64}")
@@ -38,15 +40,6 @@ KEPT = 1000
 TABLE_KEY = re.compile(r"[A-Za-z0-9_]+\.[A-Za-z0-9_]+")
 
 
-def newest(moves: DataFrame) -> dict | None:
-    """The last of the moves of one ref, also if it says that the ref is dropped.
-
-    Should two writers have made the same move, all readers agree on one of them.
-    """
-    rows = moves.orderBy(F.desc("seq"), F.desc("hash")).limit(1).collect()
-    return rows[0].asDict() if rows else None
-
-
 def keep(known: OrderedDict, name: str, value):
     """Remember a metadata row; the oldest of more than ``KEPT`` goes."""
     known[name] = value
@@ -79,6 +72,8 @@ class BranchStore:
         self.broadcast_limit = broadcast_limit
         self._contents: OrderedDict[str, Content] = OrderedDict()
         self._commits: OrderedDict[str, dict] = OrderedDict()
+        #: session views that create_views made: for each ref, and under "" of the current ref
+        self.views: dict[str, list[str]] = {}
 
     @classmethod
     def start(cls, spark: SparkSession, root: str, default: str = "main", **options) -> BranchStore:
@@ -86,7 +81,9 @@ class BranchStore:
         store = cls(spark, root, default, **options)
         first = lg.new_commit([], f"{default}.0", 0, "start", {})
         store.save_commit(first)
-        store._add_move(lg.next_move(default, None, "started", first["hash"]), mode="errorifexists")
+        if store.last_move(default) is not None:
+            raise AlreadyExists(f"a store at {root}")
+        store._add_move(lg.next_move(default, None, "started", first["hash"]))
         return store
 
     # ---- reading the metadata -------------------------------------------------
@@ -101,15 +98,20 @@ class BranchStore:
         files = self.spark.read.schema(lg.MOVE_SCHEMA).option("basePath", ledger)
         return self._found(lambda: files.parquet(f"{ledger}/ref={ref}"), ref)
 
-    def _moves_if_any(self, ref: str) -> DataFrame:
-        """All moves of a ref that may never have existed.
-
-        The pattern also names the default ref, so that it always finds a folder;
-        the filter on the folder's name then reads none of its files.
-        """
+    def move(self, ref: str, seq: int) -> dict:
+        """The move of a ref with that number; opens its one file."""
         ledger = f"{self.root}/ledger"
         files = self.spark.read.schema(lg.MOVE_SCHEMA).option("basePath", ledger)
-        return files.parquet(f"{ledger}/ref={{{ref},{self.default}}}").filter(F.col("ref") == ref)
+        return files.parquet(f"{ledger}/ref={ref}/seq={seq}").first().asDict()
+
+    def last_move(self, ref: str) -> dict | None:
+        """The last move of a ref, also if it says that the ref is dropped; None if it has none.
+
+        The folders' names say which it is, so however many there are, one file is opened.
+        """
+        names = names_in(self.spark, f"{self.root}/ledger/ref={ref}")
+        numbers = [int(name.removeprefix("seq=")) for name in names if name.startswith("seq=")]
+        return self.move(ref, max(numbers)) if numbers else None
 
     def commits(self) -> DataFrame:
         """Every commit, also of dropped refs."""
@@ -134,7 +136,7 @@ class BranchStore:
     def commit_of_lane(self, lane: str, pos: int) -> dict:
         """The commit made at a position of a lane, found through its ref's moves."""
         ref = lane.rpartition(".")[0]
-        return self.state(newest(self.moves(ref).filter(F.col("seq") == pos))["hash"])
+        return self.state(self.move(ref, pos)["hash"])
 
     def history(self, seen: dict[str, dict]) -> DataFrame:
         """The commits that a state with this ``seen`` includes, itself among them."""
@@ -162,7 +164,7 @@ class BranchStore:
         """Where a live ref points: its last move together with the commit."""
         if not REF_NAME.fullmatch(ref):
             raise ValueError(f"not a ref name: {ref!r}")
-        move = newest(self.moves(ref))
+        move = self.last_move(ref)
         if move is None or move["action"] == "dropped":
             raise UnknownRef(ref)
         return {**self.commits_of([move["hash"]])[move["hash"]], **move}
@@ -226,10 +228,16 @@ class BranchStore:
 
     # ---- writing the metadata -------------------------------------------------
 
-    def _add_move(self, move: dict, mode: str = "append") -> None:
-        """The publishing step: the ref now points at the commit of the move."""
-        frame = rows_frame(self.spark, [move], lg.MOVE_SCHEMA).drop("ref")
-        frame.write.mode(mode).parquet(f"{self.root}/ledger/ref={move['ref']}")
+    def _add_move(self, move: dict) -> None:
+        """The publishing step: the ref now points at the commit of the move.
+
+        ``StaleHead`` if the ref already made a move of that number.
+        """
+        frame = rows_frame(self.spark, [move], lg.MOVE_SCHEMA).drop("ref", "seq")
+        written = f"{self.root}/unpublished/{uuid.uuid4().hex}"
+        frame.write.parquet(written)
+        if not publish_folder(self.spark, written, f"{self.root}/ledger/ref={move['ref']}/seq={move['seq']}"):
+            raise StaleHead(f"{move['ref']} moved meanwhile")
 
     def save_commit(self, commit: dict) -> None:
         """Write a commit before a move points at it."""
@@ -237,11 +245,13 @@ class BranchStore:
         frame.write.mode("overwrite").parquet(f"{self.root}/commits/{commit['hash']}")
         keep(self._commits, commit["hash"], commit)
 
-    def save_content(self, new: Content, old: Content | None = None, batch: str | None = None) -> str:
+    def save_content(
+        self, new: Content, old: Content | None = None, batch: str | None = None, lists: DataFrame | None = None
+    ) -> str:
         """Write a version row before a commit names it.
 
         A long batch list never comes to the driver: the new row is derived in
-        Spark from the row of ``old``, plus ``batch``.
+        Spark from the row of ``old``, plus ``batch``, or gets the one row of ``lists``.
         """
         content_id = new.content_id
         if new.batches is None:
@@ -249,8 +259,9 @@ class BranchStore:
             if batch is not None:
                 batches = F.array_append(batches, F.lit(batch))
             frame = rows_frame(self.spark, [new.as_row()], CONTENT_SCHEMA).drop("batches")
-            lists = self.content_rows([old.content_id]).select("table_id", batches.alias("batches"))
-            frame = frame.join(lists, "table_id")
+            if lists is None:
+                lists = self.content_rows([old.content_id]).select(batches.alias("batches"))
+            frame = frame.withColumn("one", F.lit(1)).join(lists.withColumn("one", F.lit(1)), "one").drop("one")
         else:
             frame = rows_frame(self.spark, [new.as_row()], CONTENT_SCHEMA)
         frame.write.mode("overwrite").parquet(f"{self.root}/contents/{content_id}")
@@ -258,6 +269,19 @@ class BranchStore:
             keep(self._contents, content_id, new)
         return content_id
 
+    def save_listed(self, content: Content, lists: DataFrame) -> Content:
+        """A saved version of the content's table with the batches of ``lists`` (column _batch).
+
+        The digest is combined in Spark; only a list of up to ``path_limit`` batches is held here.
+        """
+        parts = [F.bit_xor(F.conv(F.substring(F.sha2("_batch", 256), 8 * k + 1, 8), 16, 10).cast("bigint")) for k in range(8)]
+        row = lists.agg(F.count(F.lit(1)).alias("n"), F.array(*[F.coalesce(p, F.lit(0)) for p in parts]).alias("digest")).first()
+        new = replace(content, n_batches=row["n"], digest="".join(f"{p:08x}" for p in row["digest"]), batches=None)
+        if row["n"] <= self.path_limit:
+            new = replace(new, batches=tuple(sorted(r["_batch"] for r in lists.collect())))
+        self.save_content(new, lists=lists.agg(F.sort_array(F.collect_list("_batch")).alias("batches")))
+        return new
+
     def commit(
         self,
         ref: str,
@@ -310,7 +334,7 @@ class BranchStore:
         """A new ref at the source's head, or at an older commit of it. Copies no rows."""
         if not REF_NAME.fullmatch(name) or COMMIT_HASH.fullmatch(name):
             raise ValueError(f"not a ref name: {name!r}")
-        last = newest(self._moves_if_any(name))
+        last = self.last_move(name)
         if last is not None and last["action"] != "dropped":
             raise AlreadyExists(name)
         state = self.ref_state(source or self.default)

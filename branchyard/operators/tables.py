@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 from typing import TYPE_CHECKING
 
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from branchyard.errors import AlreadyExists
+from branchyard.errors import AlreadyExists, StaleHead
 from branchyard.operators.content import new_batch_id
 from branchyard.operators.ledger import NAMESPACE
 from branchyard.session import rows_frame
@@ -25,6 +26,11 @@ class RefTables:
         self.store = store
         self.ref = ref
 
+    def _at(self, key: str) -> tuple[RefTables, str]:
+        """Where a key lies: ``ns.table@ref`` lies at that ref."""
+        name, _, ref = key.partition("@")
+        return (self.store.at(ref) if ref else self), name
+
     # ---- reading ------------------------------------------------------------------
 
     def table(self, key: str) -> DataFrame:
@@ -46,26 +52,36 @@ class RefTables:
         return rows_frame(self.store.spark, rows, "ref string, table string")
 
     def create_views(self, current: bool = True) -> list[str]:
-        """Session views for SQL: `table@ref`, and plain `table` if this is the current ref.
+        """Session views for SQL: `ns.table@ref`, and `ns.table` if this is the current ref.
 
-        They show the tables as they are now; call again after a write.
+        A table whose name is in one namespace only can also be named without it. Views
+        that an earlier call made for the ref, or for the ref that was current, go first,
+        so SQL finds no table that its ref does not have. They show the tables as they
+        are now; call again after a write.
         """
-        state = self.store.state(self.ref)
-        names = []
-        for key, content_id in state["tables"].items():
-            if content_id == NAMESPACE:
-                continue
+        state, spark = self.store.state(self.ref), self.store.spark
+        tables = {key: value for key, value in state["tables"].items() if value != NAMESPACE}
+        shorts = Counter(key.partition(".")[2] for key in tables)
+        made: dict[str, list[str]] = {self.ref: [], **({"": []} if current else {})}
+        for group in made:
+            for name in self.store.views.get(group, []):
+                spark.catalog.dropTempView(name)
+        for key, content_id in tables.items():
             rows = self.store.scan(self.store.content_of(content_id))
             short = key.partition(".")[2]
-            for name in [f"{short}@{self.ref}"] + ([short] if current else []):
-                rows.createOrReplaceTempView(f"`{name}`")
-                names.append(name)
-        return names
+            for name in [key] + ([short] if shorts[short] == 1 else []):
+                for group, view in ((self.ref, f"{name}@{self.ref}"), ("", name)):
+                    if group in made:
+                        rows.createOrReplaceTempView(f"`{view}`")
+                        made[group].append(view)
+        self.store.views.update(made)
+        return [name for names in made.values() for name in names]
 
     # ---- defining -----------------------------------------------------------------
 
     def create_table(self, key: str, schema: StructType | str, if_not_exists: bool = True) -> None:
         """An empty table with declared columns; an existing one is left as it is."""
+        self, key = self._at(key)
         state = self.store.ref_state(self.ref)
         if key in state["tables"]:
             if not if_not_exists:
@@ -78,12 +94,17 @@ class RefTables:
 
     def drop_table(self, key: str) -> None:
         """Gone at this ref only; no file is touched."""
+        self, key = self._at(key)
         state = self.store.ref_state(self.ref)
         self.store.content_at(state, key)
         self.store.commit(self.ref, f"drop table {key}", {key: None}, now=state)
 
     def rename_table(self, key: str, new_key: str) -> None:
         """Move the table to another key at this ref only."""
+        self, key = self._at(key)
+        new_key, _, ref = new_key.partition("@")
+        if ref and ref != self.ref:
+            raise ValueError(f"a table of {self.ref} cannot be renamed at {ref}")
         state = self.store.ref_state(self.ref)
         content = self.store.content_at(state, key)
         if new_key in state["tables"]:
@@ -94,6 +115,7 @@ class RefTables:
 
     def drop_column(self, key: str, column: str) -> None:
         """A version that no longer reads the column; files keep it for the other refs."""
+        self, key = self._at(key)
         state = self.store.ref_state(self.ref)
         old = self.store.content_at(state, key)
         content_id = self.store.save_content(old.without_column(column), old)
@@ -102,22 +124,37 @@ class RefTables:
     # ---- writing ------------------------------------------------------------------
 
     def append(self, key: str, rows: DataFrame) -> DataFrame:
-        """Add the rows of a query, by position. Returns an empty frame, as an insert does."""
+        """Add the rows of a query, by position. Returns an empty frame, as an insert does.
+
+        Appends commute: if the table moved meanwhile but is still the same table with the
+        same columns, the written rows are added to what it has become.
+        """
+        self, key = self._at(key)
         state = self.store.ref_state(self.ref)
         old = self.store.content_at(state, key)
         batch = new_batch_id()
         self.store.write_batch(old, rows, batch)
-        content_id = self.store.save_content(old.appended(batch), old, batch)
-        self.store.commit(self.ref, f"append to {key}", {key: content_id}, base=state)
-        return self._no_rows()
+        while True:
+            content_id = self.store.save_content(old.appended(batch), old, batch)
+            try:
+                self.store.commit(self.ref, f"append to {key}", {key: content_id}, base=state)
+                return self._no_rows()
+            except StaleHead:
+                before, state = (state, old), self.store.ref_state(self.ref)
+                old = self.store.content_at(state, key)
+                same = state["ref_lane"] == before[0]["ref_lane"] and old.table_id == before[1].table_id
+                if not same or old.columns != before[1].columns:
+                    raise
 
     def append_values(self, key: str, values: Sequence[tuple]) -> DataFrame:
         """Add a few literal rows, as one file."""
+        self, key = self._at(key)
         schema = self.store.content_at(self.store.ref_state(self.ref), key).schema
         return self.append(key, self.store.spark.createDataFrame(list(values), schema).coalesce(1))
 
     def overwrite(self, key: str, rows: DataFrame) -> DataFrame:
         """Replace the table's rows with those of a query, which may read the table itself."""
+        self, key = self._at(key)
         state = self.store.ref_state(self.ref)
         old = self.store.content_at(state, key)
         batch = new_batch_id()
@@ -129,20 +166,23 @@ class RefTables:
     def append_stream_batch(self, key: str, rows: DataFrame, stream: str, number: int) -> bool:
         """Add one micro-batch once: a replay of a published number changes nothing.
 
-        A replay of an unpublished one overwrites what the first try left.
+        A replay of an unpublished one overwrites what the first try left. A stream
+        belongs to the table, not to its name: a renamed table goes on with it, and a
+        new table of an old name starts anew.
         """
         state = self.store.ref_state(self.ref)
+        old = self.store.content_at(state, key)
+        name = f"{old.table_id} {stream}"
         moves = self.store.moves(self.ref).filter(F.col("ref_lane") == state["ref_lane"])
-        last = moves.filter(F.col("stream") == f"{key} {stream}").agg(F.max("stream_batch")).first()[0]
+        last = moves.filter(F.col("stream") == name).agg(F.max("stream_batch")).first()[0]
         if last is not None and number <= last:
             return False
-        old = self.store.content_at(state, key)
         batch = f"s{state['ref_lane']}-{stream}-{number}"
         self.store.write_batch(old, rows, batch, mode="overwrite")
         content_id = self.store.save_content(old.appended(batch), old, batch)
         self.store.commit(
             self.ref, f"stream {stream} to {key}", {key: content_id}, base=state,
-            stream=f"{key} {stream}", stream_batch=number,
+            stream=name, stream_batch=number,
         )
         return True
 

@@ -80,12 +80,13 @@ ORACLES: dict[str, str] = {
         f"'experiment'; 'shop.supplier'; {N_SUPPLIER}",
     ),
     "append_select": "SELECT * FROM orders",
+    "append_at_ref": "SELECT * FROM orders",
     "append_values": (
         "SELECT * FROM orders UNION ALL SELECT * FROM (VALUES"
-        " (-1, 7, 'O', CAST(25000000.0 AS DOUBLE), TIMESTAMP '2002-01-01', '1-URGENT'),"
-        " (-2, 7, 'O', CAST(30000000.0 AS DOUBLE), TIMESTAMP '2002-01-02', '2-HIGH'),"
-        " (-3, 7, 'O', CAST(37199000.0 AS DOUBLE), TIMESTAMP '2002-01-03', NULL),"
-        " (-4, 7, 'O', CAST(39058950.5 AS DOUBLE), TIMESTAMP '2002-01-04', '5-LOW'))"
+        " (-1, 7, 'O', CAST(1.25 AS DOUBLE), TIMESTAMP '2002-01-01', '1-URGENT'),"
+        " (-2, 7, 'O', CAST(2.25 AS DOUBLE), TIMESTAMP '2002-01-02', '2-HIGH'),"
+        " (-3, 7, 'O', CAST(3.25 AS DOUBLE), TIMESTAMP '2002-01-03', NULL),"
+        " (-4, 7, 'O', CAST(4.25 AS DOUBLE), TIMESTAMP '2002-01-04', '5-LOW'))"
     ),
     "overwrite_select": (
         f"SELECT 'branch' AS ref, count(*) AS n_rows, {CENTS} AS cents FROM orders WHERE o_orderstatus <> 'F'"
@@ -248,4 +249,17 @@ ORACLES: dict[str, str] = {
         "SELECT c_custkey, c_name, c_nationkey, c_acctbal, lower(c_mktsegment) AS c_mktsegment FROM customer"
     ),
     "stream_append": f"SELECT o_orderpriority, count(*) AS n_rows, {CENTS} AS cents FROM orders GROUP BY 1",
+    "keyed_merge_duplicate_keys": (
+        "SELECT path_limit, 'refused' AS outcome, 2 * count(*) AS n_rows, CAST(0 AS BIGINT) AS sum_keys"
+        " FROM customer, (VALUES (0), (1), (1000)) AS l(path_limit) GROUP BY path_limit"
+    ),
+    "gated_publish_moved_target": (
+        "SELECT 'refused' AS outcome, (SELECT count(*) FROM customer) AS customers, 2 * count(*) AS suppliers,"
+        " count(*) AS named FROM supplier"
+    ),
+    "stream_after_rename": (
+        f"SELECT 'renamed' AS ref, count(*) AS n_rows, {CENTS} AS cents FROM orders"
+        f" UNION ALL SELECT 'anew', count(*), {CENTS} FROM orders"
+        f" UNION ALL SELECT 'kept', count(*), {CENTS} FROM orders WHERE {HISTORY}"
+    ),
 }

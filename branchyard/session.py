@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import json
 import tempfile
+import threading
 import uuid
 from urllib.parse import quote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -26,6 +28,45 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/{quote(name)}-{uuid.uuid4().hex}"
 
 
+_renaming = threading.Lock()
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names below a folder, from its listing alone; none if there is no such folder."""
+    folder, files = _file_system(spark, path)
+    return [status.getPath().getName() for status in files.listStatus(folder)] if files.exists(folder) else []
+
+
+def publish_folder(spark: SparkSession, written: str, name: str) -> bool:
+    """Give a written folder its final name; False if another writer took that name first.
+
+    The file system's own rename decides, which on HDFS is one step. Writers of one process
+    take turns, for local disks, where looking and renaming are two.
+    """
+    target, files = _file_system(spark, name)
+    source, _ = _file_system(spark, written)
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    no_overwrite = gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    with _renaming:
+        files.mkdirs(target.getParent())
+        if files.exists(target):
+            return False
+        try:
+            context.rename(source, target, no_overwrite)
+        except Py4JJavaError:
+            if files.exists(source) and files.exists(target):
+                return False
+            raise
+    return True
+
+
 def rows_frame(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
     """A DataFrame of a few metadata rows, built in the JVM without Python tasks."""
     packed = spark.sql("SELECT :rows AS rows", args={"rows": json.dumps(rows)})

@@ -23,14 +23,16 @@ def stream_files(
     """Take in all files that are new below ``path``, then stop; the number of batches added.
 
     The files are read under the table's own columns. Each micro-batch is one
-    commit. The checkpoint belongs to the name and to the life of the ref, so a
-    restart goes on where it stopped, and a replayed micro-batch adds nothing.
+    commit. The checkpoint belongs to the name, the table and the life of the ref, so a
+    restart goes on where it stopped, also after a rename of the table, and a replayed
+    micro-batch adds nothing.
     """
     if not re.fullmatch(r"[A-Za-z0-9_]+", name):
         raise ValueError(f"not a stream name: {name!r}")
     tables = store.at(ref)
     state = store.ref_state(ref)
-    reader: DataStreamReader = store.spark.readStream.schema(store.content_at(state, key).schema)
+    table = store.content_at(state, key)
+    reader: DataStreamReader = store.spark.readStream.schema(table.schema)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     rows = reader.options(**options).format(file_format).load(path)
@@ -40,6 +42,6 @@ def stream_files(
         added.append(tables.append_stream_batch(key, batch, name, number))
 
     writer = rows.writeStream.foreachBatch(add).trigger(availableNow=True)
-    checkpoint = f"{store.root}/streams/{state['ref_lane']}/{key}/{name}"
+    checkpoint = f"{store.root}/streams/{state['ref_lane']}/{table.table_id}/{name}"
     writer.option("checkpointLocation", checkpoint).start().awaitTermination()
     return sum(added)

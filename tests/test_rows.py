@@ -158,15 +158,40 @@ def test_row_conflicts_publish_nothing_and_duplicate_keys_stop(store, spark):
         store.merge_ref("rc2", "rc", by_key={"s.t": ["no such column"]})
 
 
-def test_a_long_batch_list_is_merged_whole(store, spark):
-    few = BranchStore(spark, store.root, path_limit=0)
-    store.create_ref("lm")
-    store.at("lm").append("s.t", spark.createDataFrame([(i, "base", 0.0) for i in range(5)], SCHEMA))
-    store.create_ref("lm2", "lm")
-    store.at("lm").append_values("s.t", [(100, "ours", 1.0)])
-    store.at("lm2").append_values("s.t", [(200, "theirs", 2.0)])
-    few.merge_ref("lm2", "lm", by_key={"s.t": ["k"]})
-    assert sorted(r["k"] for r in store.table("s.t@lm").collect()) == [0, 1, 2, 3, 4, 100, 200]
+@pytest.mark.parametrize("limit", [0, 1, 2, 1000])
+def test_a_keyed_merge_does_not_depend_on_the_limit(store, spark, limit):
+    some = BranchStore(spark, store.root, path_limit=limit)
+    ours, theirs, twice = (f"{name}{limit}" for name in ("lm", "lt", "ld"))
+    store.create_ref(ours)
+    for first in (0, 5, 10):
+        store.at(ours).append("s.t", spark.createDataFrame([(i, "base", 0.0) for i in range(first, first + 5)], SCHEMA))
+    store.create_ref(theirs, ours)
+    store.create_ref(twice, ours)
+    store.at(ours).append_values("s.t", [(100, "ours", 1.0)])
+    store.at(theirs).append_values("s.t", [(200, "theirs", 2.0)])
+    store.at(twice).append_values("s.t", [(5, "again", 2.0)])
+    before = set(store.content_at(store.ref_state(ours), "s.t").batches[:3])
+    with pytest.raises(ValueError, match="not unique"):
+        some.merge_ref(twice, ours, by_key={"s.t": ["k"]})
+    some.merge_ref(theirs, ours, by_key={"s.t": ["k"]})
+    assert sorted(r["k"] for r in some.table(f"s.t@{ours}").collect()) == [*range(15), 100, 200]
+    after = store.content_at(store.ref_state(ours), "s.t")
+    assert after.n_batches == 4 and before <= set(after.batches)
+
+
+def test_a_row_diff_takes_any_column_name(store, spark):
+    store.create_ref("rd")
+    store.at("rd").create_table("s.named", "_net int, net int, _0 string")
+    store.create_ref("rd2", "rd")
+    store.at("rd2").append_values("s.named", [(1, 2, "x"), (1, 2, "x")])
+    from branchyard.operators import audit
+
+    diff = audit.row_diff(store, "s.named", "rd", "rd2")
+    assert diff.columns == ["change", "_net", "net", "_0", "n_rows"]
+    assert [tuple(r) for r in diff.collect()] == [("added", 1, 2, "x", 2)]
+    store.at("rd").create_table("s.taken", "change int")
+    with pytest.raises(ValueError, match="change"):
+        audit.row_diff(store, "s.taken", "rd", "rd")
 
 
 NESTED = (
