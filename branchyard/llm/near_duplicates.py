@@ -52,6 +52,8 @@ PER_BAND = 4
 EMPTY = np.uint32(0xFFFFFFFF)
 #: Members of a list that one block holds; a longer list is compared block by block.
 BLOCK = 512
+#: Pairs of members that are held against each other at once.
+PAIRS = 1 << 13
 
 IN_WORD = np.ones(256, bool)
 IN_WORD[[0x20, *range(0x09, 0x0E)]] = False
@@ -166,19 +168,24 @@ def _cross(left: pa.Table, least: float) -> pa.Table:
     size = left.column("n_shingles").to_numpy()
     sketches = unpacked(left.column("sketch").to_pylist())
     keys, key = list_keys(sketches), left.column("key")[0].as_py()
+    starts = np.flatnonzero(side == 0)
     same_block = left.column("same_block")[0].as_py()
-    out_a, out_b = [], []
-    for i in np.flatnonzero(side == 0):
-        other = (component != component[i]) & (np.minimum(size, size[i]) >= least * np.maximum(size, size[i]))
-        other &= (node > node[i]) if same_block else (side == 1)
-        at = np.flatnonzero(other)
-        if len(at):
-            at = at[likely(np.broadcast_to(sketches[i], (len(at), BANDS, PER_BAND)), sketches[at], size[i], size[at], least)]
-            shared = (keys[at] == keys[i]) & (keys[at] != 0)
-            at = at[keys[i][shared.argmax(1)] == key] if len(at) else at
-            out_a += [min(node[i], x) for x in node[at]]
-            out_b += [max(node[i], x) for x in node[at]]
-    return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
+    others = np.arange(len(node)) if same_block else np.flatnonzero(side == 1)
+    out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for rows in np.array_split(starts, max(1, len(starts) * len(others) // PAIRS)):
+        apart = component[rows, None] != component[others]
+        apart &= np.minimum(size[rows, None], size[others]) >= least * np.maximum(size[rows, None], size[others])
+        if same_block:
+            apart &= node[rows, None] < node[others]
+        i, j = np.nonzero(apart)
+        i, j = rows[i], others[j]
+        shared = (keys[i] == keys[j]) & (keys[i] != 0)
+        first = keys[i, shared.argmax(1)] == key
+        i, j = i[first], j[first]
+        near = likely(sketches[i], sketches[j], size[i], size[j], least)
+        out_a.append(np.minimum(node[i], node[j])[near])
+        out_b.append(np.maximum(node[i], node[j])[near])
+    return pa.table({"a": pa.array(np.concatenate(out_a), pa.int64()), "b": pa.array(np.concatenate(out_b), pa.int64())})
 
 
 class NearDuplicates:
@@ -252,8 +259,10 @@ class NearDuplicates:
         pivoted = lists.select(F.explode(F.array("central", "drawn")).alias("pivot"), "node").where("pivot <> node")
         pairs = stored(pivoted.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct(), "pairs")
         edges = self.verified(pairs)
-        rest = self.apart(lists, stored(connected(edges), "labels")).join(pairs, ["a", "b"], "left_anti")
-        labels = stored(connected(edges.union(self.verified(stored(rest, "pairs")))), "labels")
+        labels = stored(connected(edges), "labels")
+        rest = self.apart(lists, labels).join(pairs, ["a", "b"], "left_anti")
+        stars = labels.toDF("a", "b")  # the components so far; what is new is linked to them
+        labels = stored(connected(stars.union(self.verified(stored(rest, "pairs")))), "labels")
         rows = with_group_min(self.sketched.select("doc_id", "n_shingles", "digest").where("doc_id IS NOT NULL"), "digest", "doc_id", "node")
         rows = rows.join(labels, "node", "left").select("doc_id", "n_shingles", F.coalesce("label", "node", "doc_id").alias("component_id"))
         nameless = self.sketched.where("doc_id IS NULL").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id"))
