@@ -216,12 +216,15 @@ class NearDuplicates:
         pivots = rows.join(met, "node").groupBy("key").agg(F.max(F.struct("met", drawn, "node")).alias("x"), F.min(F.struct(drawn, "node")).alias("y"))
         return stored(rows.drop("n").join(pivots.select("key", F.col("x.node").alias("central"), F.col("y.node").alias("drawn")), "key"), "lists")
 
-    def verified(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) whose sets are similar: first by the sketches, then by the whole sets."""
+    def candidates(self, pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) whose sketches do not tell that the sets are too far apart."""
         sketches = self.classes.select("node", "n_shingles", "sketch")
         for side in "ab":
             pairs = pairs.join(sketches.toDF(side, f"n_{side}", f"sketch_{side}"), side)
-        pairs = stored(pairs.mapInArrow(partial(_estimated, least=self.least), "a long, b long"), "candidates")
+        return stored(pairs.mapInArrow(partial(_estimated, least=self.least), "a long, b long"), "candidates")
+
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        """Candidates whose whole sets are similar."""
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         bits = bit_filter(nodes, "node")
         rows = self.docs.where("doc_id IS NOT NULL").mapInArrow(partial(_sets, width=self.width, bits=bits), "node long, set binary")
@@ -258,11 +261,12 @@ class NearDuplicates:
         lists = self.lists()
         pivoted = lists.select(F.explode(F.array("central", "drawn")).alias("pivot"), "node").where("pivot <> node")
         pairs = stored(pivoted.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct(), "pairs")
-        edges = self.verified(pairs)
+        edges = self.verified(self.candidates(pairs))
         labels = stored(connected(edges), "labels")
         rest = self.apart(lists, labels).join(pairs, ["a", "b"], "left_anti")
         stars = labels.toDF("a", "b")  # the components so far; what is new is linked to them
-        labels = stored(connected(stars.union(self.verified(stored(rest, "pairs")))), "labels")
+        # these pairs went through the estimate where they were found
+        labels = stored(connected(stars.union(self.verified(stored(rest, "candidates")))), "labels")
         rows = with_group_min(self.sketched.select("doc_id", "n_shingles", "digest").where("doc_id IS NOT NULL"), "digest", "doc_id", "node")
         rows = rows.join(labels, "node", "left").select("doc_id", "n_shingles", F.coalesce("label", "node", "doc_id").alias("component_id"))
         nameless = self.sketched.where("doc_id IS NULL").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id"))
