@@ -130,9 +130,9 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
             keys = list_keys(unpacked(column(batch, "sketch").to_pylist()))
-            nodes = np.repeat(column(batch, "node").to_numpy(), BANDS)
             kept = keys.ravel() != 0
-            yield pa.record_batch({"key": pa.array(keys.ravel()[kept]), "node": pa.array(nodes[kept])})
+            nodes, sizes = (np.repeat(column(batch, name).to_numpy(), BANDS)[kept] for name in ("node", "n_shingles"))
+            yield pa.record_batch({"key": pa.array(keys.ravel()[kept]), "node": pa.array(nodes), "size": pa.array(sizes)})
 
 
 def _estimated(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
@@ -208,13 +208,21 @@ class NearDuplicates:
         One pivot is the member that meets the most others in all its lists: what the copies in
         a group were made from is nearer to them than they are to each other. The other is drawn.
         """
-        rows = self.classes.select("node", "sketch").mapInArrow(_listed, "key long, node long")
+        rows = self.classes.mapInArrow(_listed, "key long, node long, size long")
         sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         rows = stored(rows.join(sizes, "key"), "members")
         met = rows.groupBy("node").agg(F.sum("n").alias("met"))
         drawn = F.xxhash64("node")
-        pivots = rows.join(met, "node").groupBy("key").agg(F.max(F.struct("met", drawn, "node")).alias("x"), F.min(F.struct(drawn, "node")).alias("y"))
-        return stored(rows.drop("n").join(pivots.select("key", F.col("x.node").alias("central"), F.col("y.node").alias("drawn")), "key"), "lists")
+        pivots = rows.join(met, "node").groupBy("key").agg(F.max(F.struct("met", drawn, "node", "size")).alias("x"), F.min(F.struct(drawn, "node", "size")).alias("y"))
+        pivots = pivots.select("key", *(F.struct(f"{p}.node", f"{p}.size").alias(name) for p, name in (("x", "central"), ("y", "drawn"))))
+        return stored(rows.drop("n").join(pivots, "key"), "lists")
+
+    def pivot_pairs(self, lists: DataFrame) -> DataFrame:
+        """Pairs (a, b) of a list's member and pivot, but for those whose sizes alone rule the similarity out."""
+        rows = lists.select("node", "size", F.explode(F.array("central", "drawn")).alias("pivot"))
+        larger, smaller = F.greatest("size", "pivot.size"), F.least("size", "pivot.size")
+        rows = rows.where(F.col("pivot.node") != F.col("node")).where(100 * smaller >= self.percent * larger)
+        return rows.select(F.least("node", "pivot.node").alias("a"), F.greatest("node", "pivot.node").alias("b")).distinct()
 
     def candidates(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) whose sketches do not tell that the sets are too far apart."""
@@ -259,8 +267,7 @@ class NearDuplicates:
 
     def components(self) -> DataFrame:
         lists = self.lists()
-        pivoted = lists.select(F.explode(F.array("central", "drawn")).alias("pivot"), "node").where("pivot <> node")
-        pairs = stored(pivoted.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct(), "pairs")
+        pairs = stored(self.pivot_pairs(lists), "pairs")
         edges = self.verified(self.candidates(pairs))
         labels = stored(connected(edges), "labels")
         rest = self.apart(lists, labels).join(pairs, ["a", "b"], "left_anti")

@@ -73,6 +73,17 @@ def test_long_lists_are_compared_block_by_block(spark, monkeypatch):
     assert got == {doc: c for doc, (_, c, _) in components(rows, 4, 80).items()}
 
 
+def test_sizes_rule_out_only_pairs_that_cannot_be_similar(spark):
+    base = [f"u{k}" for k in range(103)]  # 100 shingles of four words
+    rows = [(k, " ".join(base[:n])) for k, n in enumerate([103, 83, 82, 68, 67, 103])]
+    run = near_duplicates.NearDuplicates(frame(spark, rows), "doc_id", "text", 4, 80)
+    pairs = {(r.a, r.b) for r in run.pivot_pairs(run.lists()).collect()}
+    sizes = {doc: len(shingles(text, 4)) for doc, text in rows}
+    assert pairs and all(a < b and 100 * min(sizes[a], sizes[b]) >= 80 * max(sizes[a], sizes[b]) for a, b in pairs)
+    got = {r.doc_id: r.component_id for r in run.components().collect()}
+    assert got == {doc: c for doc, (_, c, _) in components(rows, 4, 80).items()}
+
+
 def test_sketches_hold_the_smallest_values_of_each_class():
     values = np.unique(near_duplicates.shingles(" ".join(map(str, range(900))).encode(), 4))
     made = near_duplicates.sketch(values)
