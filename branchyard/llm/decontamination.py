@@ -8,12 +8,19 @@ at the same distance share one alignment) and compared word by word, which decid
 is contaminated by an item where an aligned run of at least ``min_words`` words, or the whole
 item if that is shorter, agrees in ``percent`` of its words.
 
+The masks are chosen so that no overlap is lost before it is compared: a run of 13 words or more
+that agrees in 80 % of them has all kept words of some mask at some place, wherever the replaced
+words stand. Items of fewer than 13 words have masks of their own, over the whole item, with the
+same property. Both are checked in the tests by going through all places of replaced words, the
+first also for runs of any length.
+
 The benchmark's hashes also fill a filter of fixed size, which the tasks that read the documents
 hold: most places of documents fall through it and are never shuffled. What passes is joined,
 so false passes of the filter change nothing.
 
-Defined results: null and empty texts on either side meet nothing. Items with fewer words than a
-mask spans are compared whole, by one hash of all their words, and have to agree in all words.
+Defined results: null and empty texts on either side meet nothing. Items with fewer words than
+``min_words`` have to stand whole in a document, from the first word to the last, and agree in
+``percent`` of them; with fewer than 5 words that is all.
 A document that several items or several rows of an item meet has one row per document, item and
 alignment group. Rows without an id meet nothing and are never dropped. Empty tables give no rows.
 """
@@ -21,44 +28,63 @@ alignment group. Rows without an id meet nothing and are never dropped. Empty ta
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import lru_cache, partial
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from branchyard.llm.common import FACTOR, bit_filter, column, mixed, passes, python_tasks, span_hashes, stored, window_hashes, word_spans
+from branchyard.llm.common import FACTOR, INVERSE, bit_filter, column, mixed, passes, powers, python_tasks, span_hashes, stored, word_spans
 
-#: The masks; 1 keeps a word, 0 ignores it. Each keeps 8 of up to 13 words.
-MASKS = ("11111111", "1101100101011", "1110010110101")
-#: Words of a hit's surroundings that are compared beside the item's own length.
+#: The masks; 1 keeps a word, 0 ignores it. Each keeps 7 of up to 13 words. Every
+#: run of MIN_WORDS words or more that agrees in PERCENT of them is met by one of them.
+MASKS = ("111101011", "1011001000111", "11011111", "11100011011", "1110000101011", "10100110111")
+#: Words that an overlap has at least, and per cent of them that agree.
 MIN_WORDS = 13
 PERCENT = 80
 
 IN_WORD = np.zeros(256, bool)
 IN_WORD[[*b"0123456789", *b"abcdefghijklmnopqrstuvwxyz", *range(0x80, 0x100)]] = True
 
-OFFSETS = tuple(tuple(k for k, bit in enumerate(mask) if bit == "1") for mask in MASKS)
-SPAN = max(map(len, MASKS))
-
 
 def word_hashes(text: str | None) -> np.ndarray:
     data = np.frombuffer((text or "").lower().encode(), np.uint8)
     return span_hashes(data, *word_spans(data, IN_WORD))
 
 
+def _kept(mask: str) -> tuple[int, ...]:
+    return tuple(k for k, bit in enumerate(mask) if bit == "1")
+
+
+@lru_cache(maxsize=None)
+def short_masks(n: int) -> tuple[str, ...]:
+    """Masks over a whole item of ``n`` words, so many that one keeps no word that may be replaced.
+
+    The words between the first and the last are dealt into groups of one or two; each mask
+    ignores as many groups as words may be replaced.
+    """
+    size, replaced = (1 if n < 8 else 2), n * (100 - PERCENT) // 100
+    groups = [range(k, min(k + size, n - 1)) for k in range(1, n - 1, size)]
+    ignored = [{k for group in chosen for k in group} for chosen in combinations(groups, replaced)]
+    return tuple("".join("0" if k in gaps else "1" for k in range(n)) for gaps in ignored)
+
+
 def seeds(words: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, place) of every mask at every place, and of whole runs of the given short lengths."""
+    """(hash, place) of every mask at every place, and of the masks of whole items of the given short lengths."""
+    masks = [(k, mask) for k, mask in enumerate(MASKS)] + [(64 * int(n) + k, mask) for n in lengths for k, mask in enumerate(short_masks(int(n)))]
     hashes, places = [], []
-    for number, (mask, offsets) in enumerate(zip(MASKS, OFFSETS)):
-        found = mixed(window_hashes(words, offsets, len(mask)) ^ np.uint64(number))
-        hashes.append(found)
-        places.append(np.arange(len(found)))
-    for n in lengths:
-        found = mixed(window_hashes(words, tuple(range(n)), int(n)) ^ np.uint64(FACTOR - int(n)))
-        hashes.append(found)
-        places.append(np.arange(len(found)))
+    with np.errstate(over="ignore"):
+        # the sum of the kept words' hashes, each times a power for its place, taken back to place 0
+        placed, back = words * powers(FACTOR, len(words))[: len(words)], powers(INVERSE, len(words))
+        for number, mask in masks:
+            n = max(0, len(words) - len(mask) + 1)
+            sums = np.zeros(n, np.uint64)
+            for k in _kept(mask):
+                sums += placed[k : k + n]
+            hashes.append(mixed(sums * back[:n] ^ np.uint64(number * FACTOR % 2**64)))
+            places.append(np.arange(n))
     return np.concatenate(hashes), np.concatenate(places)
 
 
@@ -66,7 +92,7 @@ def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for item, text in zip(column(batch, "item_id").to_pylist(), column(batch, "item_text").to_pylist()):
             words = word_hashes(text)
-            hashes, places = seeds(words, np.array([len(words)] if 0 < len(words) < SPAN else [], int))
+            hashes, places = seeds(words, np.array([len(words)] if 0 < len(words) < MIN_WORDS else [], int))
             n = len(hashes)
             yield pa.record_batch(
                 {"item_id": pa.array([item] * n, pa.int64()), "hash": pa.array(hashes.view(np.int64)), "item_place": pa.array(places, pa.int32()), "n_words": pa.array([len(words)] * n, pa.int32())}
@@ -139,14 +165,17 @@ def contaminations(
     """(doc_id, item_id, doc_word, n_words, n_equal): the longest overlap of each document and item that have one.
 
     ``doc_word`` is the place of its first word in the document, ``n_words`` its length and
-    ``n_equal`` how many of its words agree.
+    ``n_equal`` how many of its words agree. The masks lose no overlap down to MIN_WORDS words and
+    PERCENT, so lower values are an error.
     """
+    if min_words < MIN_WORDS or percent < PERCENT:
+        raise ValueError(f"the masks are made for min_words of {MIN_WORDS} and percent of {PERCENT} at least")
     python_tasks(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id IS NOT NULL")
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).alias("item_text")).where("item_id IS NOT NULL")
     item_seeds = stored(items.mapInArrow(_item_seeds, "item_id long, hash long, item_place int, n_words int"), "item-seeds")
     bits = bit_filter(item_seeds, "hash")
-    short = item_seeds.where(F.col("n_words") < SPAN).select("n_words").distinct()  # SPAN rows at most
+    short = item_seeds.where(F.col("n_words") < MIN_WORDS).select("n_words").distinct()  # MIN_WORDS rows at most
     lengths = np.array(sorted(row["n_words"] for row in short.collect()), int)
     doc_seeds = docs.mapInArrow(partial(_doc_seeds, bits=bits, lengths=lengths), "doc_id long, hash long, doc_place int")
     shifts = doc_seeds.join(item_seeds, "hash").select("doc_id", "item_id", (F.col("doc_place") - F.col("item_place")).alias("shift")).distinct()

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import random
 import re
 
@@ -154,6 +155,71 @@ def test_planted_passages_are_found(spark):
     assert {d for d, _ in got} >= {k for k in range(0, 30, 3)}
 
 
+def accepted(n):
+    """Runs of n words as bits, with the replaced ones 0, that begin and end with agreeing words and agree in 80 %."""
+    for replaced in range(n // 5 + 1):
+        for gaps in itertools.combinations(range(1, n - 1), replaced):
+            yield sum(1 << k for k in range(n) if k not in gaps)
+
+
+def seeded(run, n, masks):
+    bits = [(int(mask[::-1], 2), len(mask)) for mask in masks]
+    return any(run >> place & mask == mask for mask, span in bits for place in range(n - span + 1))
+
+
+def test_every_accepted_run_meets_a_mask():
+    for n in range(1, 13):  # whole items of few words
+        masks = decontamination.short_masks(n)
+        assert all(len(mask) == n for mask in masks) and all(seeded(run, n, masks) for run in accepted(n))
+    for n in range(13, 23):
+        lost = sum(not seeded(run, n, decontamination.MASKS) for run in accepted(n))
+        assert lost == 0, (n, lost)
+
+
+def test_long_runs_without_a_mask_agree_in_too_few_words():
+    """The most agreeing words that a run of each length can have without meeting a mask, by its last 12 words."""
+    masks = [int(mask, 2) for mask in decontamination.MASKS]
+    last = np.arange(1 << 12)
+    free = np.ones(1 << 12, bool)
+    for mask in masks:
+        free &= ((last << 1 | 1) & mask) != mask
+    most = np.full(1 << 12, -(10**6))
+    most[1] = 1
+    for n in range(2, 400):
+        longer = np.full(1 << 12, -(10**6))
+        np.maximum.at(longer, last << 1 & 0xFFF, most)
+        np.maximum.at(longer, ((last << 1 | 1) & 0xFFF)[free], most[free] + 1)
+        most = longer
+        assert n < 13 or 100 * most[1::2].max() < 80 * n, n
+
+
+def test_replaced_words_at_any_place_are_found(spark):
+    drawn = random.Random(11)
+    words = [f"u{k}" for k in range(5000)]
+    sizes = [5, 7, 9, 10, 11, 12, 13, 14, 15, 16, 18, 20, 34]
+    items = [(k, " ".join(drawn.sample(words, n))) for k, n in enumerate(sizes)]
+    docs = []
+    for item, text in items:
+        n = sizes[item]
+        gaps = [drawn.sample(range(1, n - 1), n // 5) for _ in range(40)] + [drawn.sample(range(1, n - 1), n // 5 + 1) for _ in range(4)]
+        gaps += list(itertools.combinations(range(1, n - 1), n // 5)) if n <= 14 else []
+        for gap in gaps:
+            passage = ["other" if k in gap else w for k, w in enumerate(text.split())]
+            docs.append((len(docs), item, " ".join(["left", "side", *passage, "right", "side"])))
+    # each document against the item that it was made from; the others share no word with it but by chance
+    want = {pair for doc, item, text in docs for pair in overlaps([(doc, text)], [items[item]])}
+    found = decontamination.contaminations(frame(spark, [(doc, text) for doc, _, text in docs]), frame(spark, items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == want
+    assert len(want) > 13 * 40
+
+
+def test_looser_rules_than_the_masks_hold_are_an_error(spark):
+    docs, items = frame(spark, ODD), frame(spark, [(1, "x")], "item_id long, text string")
+    for options in ({"min_words": 12}, {"percent": 79}):
+        with pytest.raises(ValueError):
+            decontamination.contaminations(docs, items, **options)
+
+
 def test_odd_documents_and_empty_tables(spark):
     docs, items = frame(spark, ODD), frame(spark, [(1, "some plain text with words"), (2, None), (None, "x"), (1, "some plain text with words")], "item_id long, text string")
     got = sorted((r.doc_id, r.item_id, r.doc_word, r.n_words, r.n_equal) for r in decontamination.contaminations(docs, items).collect())
