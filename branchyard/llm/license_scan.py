@@ -1,8 +1,9 @@
 """License detection by ordered signature rules.
 
-A rule is a regex over the lower-cased text, with a label, a rank and keywords. The keyword
-prefilter comes first: one pass finds which keywords a text holds at all, and only rules with a
-keyword present run, so most texts run none. Rules are written by hand as a list of licenses and
+A rule is a regex over the lower-cased text, with a label, a rank and a keyword: one word that
+every match of the rule holds. The keyword prefilter comes first: one pass finds which keywords a
+text holds at all, and only rules with their keyword present run, so most texts run none. A keyword
+is a single word because whatever stands between words may be a line break or a comment mark. Rules are written by hand as a list of licenses and
 a list of the forms in which a license is named (title, notice, identifier, address, grant); every
 pair of them is one rule. Overlapping detections are resolved in order: a stronger form goes
 before a weaker one, a longer match before a shorter one, and a detection that lies within a
@@ -39,13 +40,14 @@ GAP = rb"[^" + WORD + rb"]+"
 #: Phrase and label of the base rules.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
-#: Label, keyword, names and versions of licenses. A version "" is a name without one.
+#: Label, keywords, names and versions of licenses. A version "" is a name without one.
+#: The keyword of a name is the first of the keywords that is a word of it.
 LICENSES = (
-    ("mit", "mit", ("mit", "expat"), ("",)),
-    ("apache", "apache", ("apache", "apache software", "asl"), ("", "1.0", "1.1", "2.0")),
-    ("gpl", "general public", ("gnu general public", "general public"), ("", "1", "2", "3")),
+    ("mit", "mit expat", ("mit", "expat"), ("",)),
+    ("apache", "apache asl", ("apache", "apache software", "asl"), ("", "1.0", "1.1", "2.0")),
+    ("gpl", "general", ("gnu general public", "general public"), ("", "1", "2", "3")),
     ("gpl", "gpl", ("gnu gpl", "gpl"), ("", "1", "2", "3")),
-    ("lgpl", "lesser general", ("gnu lesser general public", "lesser general public"), ("", "2.1", "3")),
+    ("lgpl", "lesser", ("gnu lesser general public", "lesser general public"), ("", "2.1", "3")),
     ("lgpl", "lgpl", ("gnu lgpl", "lgpl"), ("", "2.0", "2.1", "3")),
     ("agpl", "affero", ("gnu affero general public", "affero general public"), ("", "1", "3")),
     ("agpl", "agpl", ("gnu agpl", "agpl"), ("", "3")),
@@ -53,7 +55,7 @@ LICENSES = (
     ("mpl", "mozilla", ("mozilla public",), ("", "1.0", "1.1", "2.0")),
     ("mpl", "mpl", ("mpl",), ("", "1.1", "2.0")),
     ("epl", "eclipse", ("eclipse public",), ("", "1.0", "2.0")),
-    ("cddl", "common development", ("common development and distribution",), ("", "1.0", "1.1")),
+    ("cddl", "development", ("common development and distribution",), ("", "1.0", "1.1")),
     ("isc", "isc", ("isc",), ("",)),
     ("zlib", "zlib", ("zlib", "zlib libpng"), ("",)),
     ("boost", "boost", ("boost software",), ("", "1.0")),
@@ -63,9 +65,9 @@ LICENSES = (
     ("cc0", "cc0", ("cc0",), ("", "1.0")),
     ("unlicense", "unlicense", ("unlicense",), ("",)),
     ("wtfpl", "wtfpl", ("wtfpl",), ("",)),
-    ("python", "python", ("python software foundation", "psf"), ("", "2.0")),
-    ("ofl", "open font", ("sil open font",), ("", "1.1")),
-    ("eupl", "european union", ("european union public",), ("", "1.1", "1.2")),
+    ("python", "python psf", ("python software foundation", "psf"), ("", "2.0")),
+    ("ofl", "sil", ("sil open font",), ("", "1.1")),
+    ("eupl", "european", ("european union public",), ("", "1.1", "1.2")),
 )
 
 #: How a license is named, as a pattern with {name} and {version}, and its strength.
@@ -79,20 +81,20 @@ FORMS = (
 
 #: The signatures that do not follow a form: label, keyword, words, strength.
 NOTICES = (
-    ("mit", "permission is hereby", "permission is hereby granted free of charge to any person obtaining a copy", 1.0),
-    ("apache", "apache.org/licenses", "apache org licenses license 2 0", 0.95),
-    ("bsd", "redistribution and use", "redistribution and use in source and binary forms", 0.9),
-    ("gpl", "free software foundation", "published by the free software foundation", 0.8),
-    ("gpl", "gnu.org/licenses/gpl", "gnu org licenses gpl", 0.9),
-    ("lgpl", "gnu.org/licenses/lgpl", "gnu org licenses lgpl", 0.9),
-    ("agpl", "gnu.org/licenses/agpl", "gnu org licenses agpl", 0.9),
-    ("isc", "permission to use", "permission to use copy modify and or distribute this software for any purpose", 0.9),
-    ("cc-by", "creativecommons.org/licenses/by/", "creativecommons org licenses by", 0.9),
-    ("cc-by-sa", "creativecommons.org/licenses/by-sa", "creativecommons org licenses by sa", 0.95),
-    ("cc0", "creativecommons.org/publicdomain/zero", "creativecommons org publicdomain zero", 0.9),
-    ("unlicense", "released into the public domain", "released into the public domain", 0.8),
-    ("boost", "boost.org/license", "boost org license", 0.9),
-    ("mpl", "mozilla.org/mpl", "mozilla org mpl", 0.9),
+    ("mit", "hereby", "permission is hereby granted free of charge to any person obtaining a copy", 1.0),
+    ("apache", "apache", "apache org licenses license 2 0", 0.95),
+    ("bsd", "redistribution", "redistribution and use in source and binary forms", 0.9),
+    ("gpl", "foundation", "published by the free software foundation", 0.8),
+    ("gpl", "gpl", "gnu org licenses gpl", 0.9),
+    ("lgpl", "lgpl", "gnu org licenses lgpl", 0.9),
+    ("agpl", "agpl", "gnu org licenses agpl", 0.9),
+    ("isc", "permission", "permission to use copy modify and or distribute this software for any purpose", 0.9),
+    ("cc-by", "creativecommons", "creativecommons org licenses by", 0.9),
+    ("cc-by-sa", "creativecommons", "creativecommons org licenses by sa", 0.95),
+    ("cc0", "creativecommons", "creativecommons org publicdomain zero", 0.9),
+    ("unlicense", "domain", "released into the public domain", 0.8),
+    ("boost", "boost", "boost org license", 0.9),
+    ("mpl", "mozilla", "mozilla org mpl", 0.9),
 )
 
 
@@ -122,8 +124,9 @@ def _version(version: str) -> str:
 def rules() -> tuple[Rule, ...]:
     """All rules, the strongest first; base rules are marked."""
     out = [Rule(label, phrase.split()[0].encode(), signature(phrase), 0.75, True) for phrase, label in BASE]
-    for label, keyword, names, versions in LICENSES:
+    for label, keywords, names, versions in LICENSES:
         for name in names:
+            keyword = next(word for word in keywords.split() if word in name.split())
             for version in versions:
                 for form, strength in FORMS:
                     words = form.format(name=name, version=_version(version))
@@ -151,11 +154,13 @@ def detections(text: str) -> list[tuple[int, int, Rule]]:
     Base detections are all kept.
     """
     present = {k for _, numbers in prefilter().iter(text) for k in numbers}
-    if not present:
-        return []
-    data, found = text.encode(), []
-    for k in sorted(present):
-        rule = rules()[k]
+    return resolved(text.encode(), [rules()[k] for k in sorted(present)]) if present else []
+
+
+def resolved(data: bytes, tried: list[Rule] | tuple[Rule, ...]) -> list[tuple[int, int, Rule]]:
+    """The detections of some rules, in the order of rules(), without the weaker ones within stronger ones."""
+    found = []
+    for rule in tried:
         found += [(m.start(), m.end(), rule) for m in rule.pattern.finditer(data)]
     found.sort(key=lambda d: (-d[2].strength, d[0] - d[1], d[0]))
     kept: list[tuple[int, int, Rule]] = []

@@ -50,6 +50,40 @@ def test_weaker_detections_within_stronger_ones_go():
     assert len(license_scan.rules()) > 300 and license_scan.detections("no such word") == []
 
 
+GAPS = [" ", "\n", "  ", "\n * ", "\r\n// ", "-", " (", "...\t"]
+
+
+def test_the_prefilter_drops_no_detection():
+    drawn = random.Random(10)
+    phrases = [words for _, _, words, _ in license_scan.NOTICES]
+    for _, _, names, versions in license_scan.LICENSES:
+        for name in names:
+            for version in versions:
+                number = f" {drawn.choice(['v', 'version ', ''])}{version}" if version else ""
+                phrases += [f"{name} license{number}", f"released under the terms of the {name} license{number}", f"license {name}{number}", f"spdx license identifier {name}{number}", f"{name} licencev{version}"]
+    texts = [re.sub(" ", lambda _: drawn.choice(gaps), phrase) for phrase in phrases for gaps in (GAPS[:1], GAPS[1:2], GAPS[3:4], GAPS)]
+    texts += [" ".join(drawn.sample(texts, 3)) for _ in range(200)] + ["", "no such word"]
+    met = set()
+    for text in texts:
+        want = license_scan.resolved(text.encode(), license_scan.rules())
+        assert license_scan.detections(text) == want, text
+        met |= {rule.label for _, _, rule in want}
+    assert met == {rule.label for rule in license_scan.rules()}
+    assert all(license_scan.IN_WORD[[*rule.keyword]].all() for rule in license_scan.rules())
+
+
+def test_wrapped_notices_get_their_labels(spark):
+    notices = {
+        "GNU Lesser\nGeneral Public License": "gpl,lgpl", "Expat License": "mit", "licensed under the ASL 2.0": "apache", "PSF License": "python",
+        "# Permission is\n# hereby granted, free of charge, to any\n# person obtaining a copy": "mit", "Redistribution\n * and use in source and binary forms": "bsd",
+        "Permission  to use, copy, modify, and/or distribute this software for any purpose": "isc", "Common\nDevelopment and Distribution License": "cddl",
+        "SIL Open\nFont License": "ofl", "European\n// Union Public Licence": "eupl", "published by the Free\nSoftware Foundation": "gpl", "released into the\npublic domain": "unlicense",
+        "https://www.apache.org /licenses/LICENSE-2.0": "apache",
+    }
+    rows = license_scan.license_scan(frame(spark, list(enumerate(notices)))).collect()
+    assert [r.labels for r in sorted(rows, key=lambda r: r.doc_id)] == list(notices.values())
+
+
 # ---- preference pairs
 
 TURNS = "pair_id long, is_chosen boolean, turn long, role string, text string"
