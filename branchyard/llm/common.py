@@ -44,6 +44,20 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(folder)
 
 
+def row_ids(docs: DataFrame, id_col: str) -> tuple[DataFrame, str]:
+    """The rows, and a column whose values that are not null name one row each, in the order of the ids.
+
+    That is the id itself unless an id stands in two rows. Then the rows are written with a number
+    that grows with the id; null ids have a null number.
+    """
+    rows = docs.select(F.col(id_col).cast("long").alias("id")).where("id IS NOT NULL")
+    if rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        return docs, id_col
+    rows = docs.orderBy(F.col(id_col).cast("long"), *(c for c in docs.columns if c != id_col))
+    number = F.when(F.col(id_col).cast("long").isNotNull(), F.monotonically_increasing_id())
+    return stored(rows.withColumn("_row_id", number), "rows"), "_row_id"
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 

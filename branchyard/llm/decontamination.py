@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from branchyard.llm.common import FACTOR, INVERSE, bit_filter, column, mixed, passes, powers, python_tasks, span_hashes, stored, word_spans
+from branchyard.llm.common import FACTOR, INVERSE, bit_filter, column, mixed, passes, powers, python_tasks, row_ids, span_hashes, stored, word_spans
 
 #: The masks; 1 keeps a word, 0 ignores it. Each keeps 7 of up to 13 words. Every
 #: run of MIN_WORDS words or more that agrees in PERCENT of them is met by one of them.
@@ -195,6 +195,10 @@ def _filtered(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[p
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """The documents that no benchmark item contaminates, with all their columns; rows without an id stay."""
-    found = contaminations(docs, benchmark, id_col=id_col, **options).select(F.col("doc_id").alias("_contaminated")).distinct()
-    return docs.join(found, F.col(id_col).cast("long") == F.col("_contaminated"), "left_anti")
+    """The documents that no benchmark item contaminates, with all their columns; rows without an id stay.
+
+    Of an id that stands in several rows, only the rows whose own text is contaminated go.
+    """
+    rows, row = row_ids(docs, id_col)
+    found = contaminations(rows, benchmark, id_col=row, **options).select(F.col("doc_id").alias("_contaminated")).distinct()
+    return rows.join(found, F.col(row).cast("long") == F.col("_contaminated"), "left_anti").select(docs.columns)

@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from branchyard.llm import byte_bpe, decontamination, near_duplicates, toxicity
+from branchyard.llm.common import row_ids
 from branchyard.session import work_folder
 
 
@@ -20,13 +22,19 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest doc_id."""
-    copies = near_duplicates.near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
+    """Of each group of linked rows the one with the smallest doc_id.
+
+    A doc_id that stands in several rows is no link between them: rows of it with the same or a
+    near text are reduced to one (the first by the other columns), and a row with another text is
+    decided on by that text. Texts without words are linked with nothing, so all their rows stay.
+    """
+    rows, row = row_ids(docs, "doc_id")
+    copies = near_duplicates.near_duplicates(rows, id_col=row).where("NOT kept").select(F.col("doc_id").alias(row)).distinct()
+    return rows.join(copies, row, "left_anti").select(docs.columns)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no passage of a benchmark item."""
+    """Documents that hold no passage of a benchmark item; rows of a repeated doc_id are decided on one by one."""
     return decontamination.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(docs.columns)
 
 

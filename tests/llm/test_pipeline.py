@@ -25,3 +25,17 @@ def test_stages_drop_what_is_planted_and_keep_the_rest(spark):
         assert {r.doc_id for r in now.collect()} == want and now.columns == docs.columns
     last = corpus_pipeline.STAGES[-1][1](spark, now, sf)
     assert {r.doc_id for r in last.collect()} == left[-1]
+
+
+def test_rows_of_a_repeated_id_are_decided_on_by_their_text(spark):
+    sf = "/root/testdata/sf0.01"
+    item = spark.read.parquet(f"{sf}/benchmark.parquet").orderBy("item_id").first().text
+    a, b, c = (" ".join(f"{side}{k}" for k in range(80)) for side in "abc")
+    rows = [(1, a), (5, a), (5, b), (7, b + " more"), (8, c), (8, c), (9, ""), (9, ""), (None, a), (None, a)]
+    kept = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), sf)
+    assert kept.columns == ["doc_id", "text"]
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted([(1, a), (5, b), (8, c), (9, ""), (9, ""), (None, a), (None, a)], key=repr)
+    rows = [(1, a), (1, f"{a} {item} {a}"), (2, b), (2, b), (3, item), (None, item)]
+    kept = corpus_pipeline.drop_benchmark_leaks(spark, spark.createDataFrame(rows, "doc_id long, text string"), sf)
+    assert kept.columns == ["doc_id", "text"]
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted([(1, a), (2, b), (2, b), (None, item)], key=repr)
