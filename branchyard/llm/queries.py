@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from branchyard.llm import arc_archives, byte_bpe, decontamination, license_scan, maxscore, near_duplicates, preferences, token_counts, toxicity, url_rules
+from branchyard.llm import arc_archives, byte_bpe, decontamination, license_scan, maxscore, merkle, near_duplicates, preferences, repeated_spans, token_counts, toxicity, url_rules, whitening
+from branchyard.llm.oracles import REPEATED_SPANS, merkle as merkle_sql
 from branchyard.session import work_folder
 
 
@@ -70,9 +71,31 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract's deviation is a long: beyond its range the cast is an error; the operator itself has a decimal."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").cast("long"))
+
+
+#: The columns of a leaf, in order.
+LEAF = ("doc_id", "source", "lang", "n_chars", "text")
+CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the rows is tampered with: their texts are in small letters."""
+    third = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    proofs = merkle.merkle_proofs(table(spark, sf_dir, "documents"), LEAF, {"text": F.translate("text", CAPITALS, SMALL)}, where=third)
+    return proofs.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op13_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_spans.without_repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_byte_bpe, op2_arc_to_warc, op3_token_counts, op4_maxscore, op5_preferences,
     op6_toxicity, op7_decontamination, op8_near_duplicates, op9_url_rules, op10_license_scan,
+    op11_whitening, op12_merkle_manifest, op13_repeated_spans,
 )}
 
 ORACLES = {
@@ -151,4 +174,6 @@ ORACLES = {
         )
         SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict FROM m
     """,
+    "op12_merkle_manifest": merkle_sql(),
+    "op13_repeated_spans": REPEATED_SPANS,
 }
