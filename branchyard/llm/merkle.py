@@ -233,6 +233,7 @@ def merkle_proofs(
         F.coalesce(F.concat(F.lit("s"), tree), F.lit("n")).alias("tree"), F.col(quoted(id_col)).cast("long").alias("id"),
         row_digest(list(columns.values())).alias("digest"), F.when(tampered, other).alias("changed"),
     )
+    leaves = stored(leaves, "digests")  # finding the ranges reads the rows twice, but no text
     leaves = stored(numbered(leaves, ["id", "digest"], "leaves"), "placed")
     inner = levels(leaves, "nodes")
     subroots = union([level.where("size = 1") for level in inner]).select("tree", "digest")

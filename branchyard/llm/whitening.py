@@ -39,8 +39,9 @@ from branchyard.llm.common import column, python_tasks, stored
 BLOCK_ROWS = 4096
 #: Gram matrices of unit scale are done when they are this near to the identity.
 ORTHOGONAL = 1e-13
-#: Below this share of the largest, an eigenvalue after the shifted pass is rounding.
-NO_EXTENT = 1e-18
+#: Below this share of the largest, an eigenvalue after the shifted pass is rounding: such directions
+#: have less than about 1e-12 of the extent of the widest.
+NO_EXTENT = 1e-14
 PASSES = 8
 
 
