@@ -6,7 +6,7 @@ Counts are always taken from the rows, never from stored numbers.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from branchyard.errors import AuditFailed
 from branchyard.functions.expressions import counted_once, matches_fully, member_of, quoted
 from branchyard.operators import ledger as lg
+from branchyard.operators.content import Content, type_of, widens
 from branchyard.operators.merge import planned_merge, publish_merge
 from branchyard.session import rows_frame
 
@@ -57,7 +58,8 @@ def count_tables(
 ) -> DataFrame:
     """The labels, table and n_rows of every table (or of ``keys``) of several states.
 
-    A batch that several states share is counted once. Few tables and batches are
+    A batch that several states share is counted once. A version with deleted rows is
+    counted by a scan of its own, in which batches without such rows read no column. Few tables and batches are
     named in the plan; longer lists are read from the store's metadata by Spark.
     """
     wanted = None if keys is None else set(keys)
@@ -69,6 +71,8 @@ def count_tables(
     ]
     ids = {place["content_id"] for place in places}
     contents = store.contents_of(ids) if len(ids) <= store.path_limit else []
+    less = [c for c in contents if c.deletes]
+    contents = [c for c in contents if not c.deletes]
     held = {(c.table_id, batch) for c in contents for batch in c.batches or ()}
     fields = ", ".join(f"`{label}` string" for label in labels)
     if len(places) <= store.path_limit:
@@ -81,7 +85,7 @@ def count_tables(
         if keys is not None:
             tables = tables.filter(F.col("table").isin(list(keys)))
         named = rows_frame(store.spark, heads, f"{fields}, hash string").join(tables, "hash").drop("hash")
-    if contents and len(held) <= store.path_limit and all(c.batches is not None for c in contents):
+    if (contents or less) and len(held) <= store.path_limit and all(c.batches is not None for c in contents):
         lists = [
             {"content_id": c.content_id, "table_id": c.table_id, "_batch": batch}
             for c in contents
@@ -91,12 +95,18 @@ def count_tables(
         counts = named_batch_counts(store, sorted(held))
     else:
         rows = store.content_rows(ids) if len(ids) <= store.path_limit else store.all_contents()
-        rows = rows.join(named.select("content_id").distinct(), "content_id", "left_semi")
+        some = F.size(F.coalesce("deletes", F.array())) > 0
+        if len(ids) > store.path_limit:
+            less = [Content.from_row(row) for row in rows.where(some).withColumn("batches", F.lit(None).cast("array<string>")).collect() if row["content_id"] in ids]
+        rows = rows.where(~some).join(named.select("content_id").distinct(), "content_id", "left_semi")
         lists = rows.select("content_id", "table_id", F.explode("batches").alias("_batch"))
         counts = batch_counts(store, lists.select("table_id", "_batch").distinct())
     per_content = (
         lists.join(counts, ["table_id", "_batch"]).groupBy("content_id").agg(F.sum("n_rows").alias("n_rows"))
     )
+    for content in less:
+        left = store.scan(content).agg(F.count(F.lit(1)).alias("n_rows"))
+        per_content = per_content.unionByName(left.select(F.lit(content.content_id).alias("content_id"), "n_rows"))
     rows = named.join(per_content, "content_id", "left")
     return rows.select(*labels, "table", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
 
@@ -187,8 +197,16 @@ def row_diff(store: BranchStore, key: str, old_ref: str, new_ref: str) -> DataFr
     out as one row with their number.
     """
     old, new = (store.content_at(store.state(ref), key) for ref in (old_ref, new_ref))
-    kinds = dict(old.columns)
-    names = [name for name, kind in new.columns if kinds.get(name) == kind]
+    kinds = {file: kind for _, kind, file in old.columns}
+    columns = []
+    for name, kind, file in new.columns:
+        was = kinds.get(file)
+        if was is not None and (was == kind or widens(type_of(was), type_of(kind))):
+            columns.append((name, kind, file))
+        elif was is not None and widens(type_of(kind), type_of(was)):
+            columns.append((name, was, file))
+    names = [name for name, _, _ in columns]
+    old, new = (replace(content, columns=tuple(columns)) for content in (old, new))
     if not names:
         raise ValueError(f"the two versions of {key} have no column in common")
     taken = {"change", "n_rows"}.intersection(name.lower() for name in names)

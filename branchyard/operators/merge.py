@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 from functools import reduce
 from operator import and_
 from typing import TYPE_CHECKING
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from branchyard.errors import MergeConflict, StaleHead
 from branchyard.functions.expressions import quoted, same_row
 from branchyard.operators import ledger as lg
-from branchyard.operators.content import new_batch_id
+from branchyard.operators.content import new_batch_id, require_names, type_of, widens
 
 if TYPE_CHECKING:
     from branchyard.operators.content import Content
@@ -71,8 +72,14 @@ def planned_merge(
         return {**plan, "hash": source["hash"], "action": "forwarded"}
     base = merge_base(store, source, target)
     changes, conflicts = three_way_tables(base, source, target)
-    by_row = [key for key in conflicts if key in by_key and _on_all_sides(key, base, source, target)]
-    left = [key for key in conflicts if key not in by_row]
+    by_row = []
+    for key in [key for key in conflicts if _on_all_sides(key, base, source, target)]:
+        merged = merge_versions(store, key, base, source, target)
+        if merged is not None:
+            changes[key] = merged
+        elif key in by_key:
+            by_row.append(key)
+    left = [key for key in conflicts if key not in by_row and key not in changes]
     if left:
         raise MergeConflict(f"changed on {source_ref} and on {target_ref}: {left}", left)
     for key in by_row:
@@ -101,6 +108,59 @@ def _on_all_sides(key: str, *states: dict) -> bool:
     return all(content is not None and content != lg.NAMESPACE for content in contents)
 
 
+def merged_columns(key: str, base: Content, source: Content, target: Content) -> tuple:
+    """The columns of the target with what the source changed since the base.
+
+    A column is the same on all sides by its name in the files. Dropped on one side it goes; a
+    name or type is that of the side that changed it, of two wider types the widest. A column that
+    one side dropped and the other changed, a name changed twice, or two columns of one name are conflicts.
+    """
+    old, theirs, ours = ({file: (name, kind) for name, kind, file in side.columns} for side in (base, source, target))
+
+    def conflict(file: str):
+        name = (ours.get(file) or theirs.get(file))[0]
+        return MergeConflict(f"column {name} of {key} was changed on both sides", [key])
+
+    def one(file: str, was, a, b, wider: bool = False):
+        if a == b or b == was:
+            return a
+        if a == was or wider and widens(type_of(a), type_of(b)):
+            return b
+        if wider and widens(type_of(b), type_of(a)):
+            return a
+        raise conflict(file)
+
+    out = []
+    for file in [*ours, *(file for file in theirs if file not in ours)]:
+        if file in ours and file in theirs:
+            was = old.get(file, (None, None))
+            names, kinds = ((was[k], ours[file][k], theirs[file][k]) for k in (0, 1))
+            out.append((one(file, *names), one(file, *kinds, wider=True), file))
+        elif file not in old:
+            out.append((*(ours.get(file) or theirs[file]), file))
+        elif (ours.get(file) or theirs[file]) != old[file]:
+            raise conflict(file)
+    try:
+        return require_names(tuple(out))
+    except ValueError as clash:
+        raise MergeConflict(f"columns of {key}: {clash}", [key]) from None
+
+
+def merge_versions(store: BranchStore, key: str, base: dict, source: dict, target: dict) -> str | None:
+    """A version with the rows of the side that changed them and the columns of both; None if both changed rows."""
+    old, theirs, ours = (store.content_at(side, key) for side in (base, source, target))
+    if len({(c.table_id, c.partition) for c in (old, theirs, ours)}) > 1:
+        return None
+    rows = [(c.digest, c.n_batches, frozenset(d.id for d in c.deletes)) for c in (old, theirs, ours)]
+    if rows[1] == rows[0] or rows[1] == rows[2]:
+        held = ours
+    elif rows[2] == rows[0]:
+        held = theirs
+    else:
+        return None
+    return store.save_content(replace(held, columns=merged_columns(key, old, theirs, ours)), held)
+
+
 def conflicting_tables(store: BranchStore, source_ref: str, target_ref: str) -> DataFrame:
     """table, rows_base, rows_source, rows_target of the tables that stop a merge.
 
@@ -211,7 +271,7 @@ def compare_by_key(
 
 
 def _shared(store: BranchStore, contents: Sequence[Content]) -> Content:
-    """A version with the batches that all sides hold: their rows did not change.
+    """A version with the batches that all sides hold with the same rows deleted: their rows did not change.
 
     Lists that are too long to hold here are intersected in Spark; the outcome is the same.
     """
@@ -220,8 +280,14 @@ def _shared(store: BranchStore, contents: Sequence[Content]) -> Content:
         return first.holding()
     if all(c.batches is not None for c in contents):
         common = set(first.batches).intersection(*[c.batches for c in others])
+        common = {b for b in common if len({c.deletes_of(b) for c in contents}) == 1}
         return first.holding(*[batch for batch in first.batches if batch in common])
-    lists = store.batch_list(first)
+    everywhere = set(first.deletes).intersection(*[c.deletes for c in others])
+    other = {d for c in contents for d in c.deletes} - everywhere
+    if any(d.batches is None for d in other):
+        return first.holding()
+    first = replace(first, deletes=tuple(d for d in first.deletes if d in everywhere))
+    lists = store.batch_list(contents[0]).where(~F.col("_batch").isin(sorted({b for d in other for b in d.batches})))
     for other in others:
         lists = lists.join(store.batch_list(other), "_batch", "left_semi")
     return store.save_listed(first, lists)
@@ -247,7 +313,10 @@ def require_apart(own: Sequence[DataFrame], shared: DataFrame, keys: Sequence[st
 def _compare(store, key, keys, base, source, target) -> tuple[DataFrame, Content]:
     """The compared rows, and a version with the batches that need no comparison."""
     sides = [store.content_at(state, key) for state in (base, target, source)]
-    if len({side.columns for side in sides}) > 1:
+    if len({(side.table_id, side.partition) for side in sides}) == 1:
+        columns = merged_columns(key, sides[0], sides[2], sides[1])
+        sides = [replace(side, columns=columns) for side in sides]
+    elif len({side.columns for side in sides}) > 1:
         raise MergeConflict(f"{key} has different columns on the sides", [key])
     ours = sides[1]
     missing = [name for name in keys if name not in ours.schema.names]
@@ -275,8 +344,8 @@ def merge_rows(
     seen = Observation("rows of the merge")
     counted = compared.observe(seen, F.count_if(F.col("verdict") == "conflict").alias("conflicts"))
     batch = new_batch_id()
-    store.write_batch(kept, resolved_rows(counted, kept.schema.names, keys), batch)
+    batches = store.write_batch(kept, resolved_rows(counted, kept.schema.names, keys), batch)
     conflicts = seen.get["conflicts"]
     if conflicts:
         raise MergeConflict(f"{conflicts} rows of {key} changed on both sides", [key])
-    return store.save_content(kept.appended(batch), kept, batch)
+    return store.save_content(kept.adding(*batches), kept, batches)

@@ -4,6 +4,7 @@
     commits/<hash>/                 one row per commit
     contents/<id>/                  one row per table version
     data/table=<id>/_batch=<id>/    the rows, never changed after the write
+    deletes/table=<id>/_delete=<id>/  keys of deleted rows, with the batch of each
     staging/<name>/                 unversioned tables, seen from every ref
     streams/<lane>/<table>/<name>/  checkpoints of streams into a ref
 
@@ -18,6 +19,8 @@ import uuid
 from collections import OrderedDict
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import replace
+from functools import reduce
+from operator import and_
 from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
@@ -29,7 +32,7 @@ from branchyard.errors import AlreadyExists, StaleHead, UnknownRef, UnknownTable
 from branchyard.functions.expressions import quoted
 from branchyard.operators import ledger as lg
 from branchyard.operators import merge as mg
-from branchyard.operators.content import CONTENT_SCHEMA, Content
+from branchyard.operators.content import CONTENT_SCHEMA, Content, Delete, partition_name, partition_of, struct_of
 from branchyard.operators.tables import RefTables
 from branchyard.session import names_in, no_rows, publish_folder, rows_frame
 
@@ -72,6 +75,8 @@ class BranchStore:
         self.broadcast_limit = broadcast_limit
         self._contents: OrderedDict[str, Content] = OrderedDict()
         self._commits: OrderedDict[str, dict] = OrderedDict()
+        #: of streams: the last move looked at, and the last number published
+        self.stream_numbers: dict[tuple[str, str], tuple[int, int | None]] = {}
         #: session views that create_views made: for each ref, and under "" of the current ref
         self.views: dict[str, list[str]] = {}
 
@@ -246,18 +251,18 @@ class BranchStore:
         keep(self._commits, commit["hash"], commit)
 
     def save_content(
-        self, new: Content, old: Content | None = None, batch: str | None = None, lists: DataFrame | None = None
+        self, new: Content, old: Content | None = None, added: Sequence[str] = (), lists: DataFrame | None = None
     ) -> str:
         """Write a version row before a commit names it.
 
         A long batch list never comes to the driver: the new row is derived in
-        Spark from the row of ``old``, plus ``batch``, or gets the one row of ``lists``.
+        Spark from the row of ``old``, plus the batches ``added``, or gets the one row of ``lists``.
         """
         content_id = new.content_id
         if new.batches is None:
             batches = F.col("batches")
-            if batch is not None:
-                batches = F.array_append(batches, F.lit(batch))
+            if added:
+                batches = F.concat(batches, F.array(*map(F.lit, added)))
             frame = rows_frame(self.spark, [new.as_row()], CONTENT_SCHEMA).drop("batches")
             if lists is None:
                 lists = self.content_rows([old.content_id]).select(batches.alias("batches"))
@@ -363,7 +368,9 @@ class BranchStore:
         """Publish all tables of ``source`` on ``into`` in one move.
 
         ``by_key`` names the key columns of tables that may be merged row by row
-        if both sides changed them. Any conflict left publishes nothing.
+        if both sides changed their rows. Columns are merged by themselves: what one side
+        added, renamed, widened or dropped goes with what the other did. Any conflict left
+        publishes nothing.
         """
         target = into or self.default
         commit_hash = mg.merge_ref(self, source, target, message, by_key or {})
@@ -402,26 +409,39 @@ class BranchStore:
         key, _, ref = name.partition("@")
         return self.at(ref or self.default).table(key)
 
-    def new_table(self, key: str, schema: StructType, state: dict) -> Content:
+    def new_table(self, key: str, schema: StructType, state: dict, partitioned_by: str | None = None) -> Content:
         if not TABLE_KEY.fullmatch(key):
             raise ValueError(f"a table is named namespace.table, not {key!r}")
         namespace = key.partition(".")[0]
         if state["tables"].get(namespace) != lg.NAMESPACE:
             raise UnknownTable(f"no namespace {namespace} at {state['ref']}")
-        return Content.empty(schema)
+        return Content.empty(schema, partitioned_by)
 
     def batch_path(self, table_id: str, batch: str) -> str:
         return f"{self.root}/data/table={table_id}/_batch={batch}"
 
-    def write_batch(self, content: Content, df: DataFrame, batch: str, mode: str = "errorifexists") -> None:
-        """Write rows by position under the version's columns.
+    def delete_path(self, table_id: str, delete: str) -> str:
+        return f"{self.root}/deletes/table={table_id}/_delete={delete}"
+
+    def write_batch(self, content: Content, df: DataFrame, batch: str, mode: str = "errorifexists") -> list[str]:
+        """Write rows by position under the version's columns; the names of the batches made.
 
         Spark's own rules for storing into a declared schema apply: a wrong
         number of columns or a type that does not fit is an error. The write
-        keeps the partitions of ``df``; it adds no shuffle.
+        keeps the partitions of ``df``; it adds no shuffle. Rows of a partitioned table are
+        first brought together by partition, large partitions in several tasks, and become
+        one batch for each partition value, none if there are no rows.
         """
-        schema = content.schema
-        df.toDF(*schema.names).to(schema).write.mode(mode).parquet(self.batch_path(content.table_id, batch))
+        rows = df.toDF(*content.schema.names).to(content.schema).toDF(*content.file_schema.names)
+        if content.partition is None:
+            rows.write.mode(mode).parquet(self.batch_path(content.table_id, batch))
+            return [batch]
+        value = F.expr(content.partition).cast("string")
+        odd = F.replace(F.replace(F.replace(F.url_encode(value), F.lit("+"), F.lit("%20")), F.lit("*"), F.lit("%2A")), F.lit("%"), F.lit("!"))
+        name = F.concat(F.lit(f"{batch}~"), F.coalesce(F.concat(F.lit("v"), odd), F.lit("n")))
+        folder = f"{self.root}/data/table={content.table_id}"
+        rows.withColumn("_batch", name).hint("rebalance", "_batch").write.mode("append").partitionBy("_batch").parquet(folder)
+        return sorted(n.removeprefix("_batch=") for n in names_in(self.spark, folder, f"_batch={batch}~*"))
 
     def batch_list(self, content: Content) -> DataFrame:
         """The batch ids of one version, one per row."""
@@ -430,25 +450,79 @@ class BranchStore:
         rows = self.content_rows([content.content_id]).filter(F.col("content_id") == content.content_id)
         return rows.select(F.explode("batches").alias("_batch"))
 
-    def scan(self, content: Content, without: Content | None = None) -> DataFrame:
-        """Rows of a version, lazily; ``without`` leaves out batches of that other version."""
+    def scan(
+        self, content: Content, without: Content | None = None, partitions: Sequence | None = None, with_batch: bool = False
+    ) -> DataFrame:
+        """Rows of a version, lazily.
+
+        ``without`` leaves out batches that another version has with the same rows deleted;
+        ``partitions`` names the only partition values to read. Both are settled before a folder
+        is listed. Only batches that a delete names are held against deleted keys.
+        """
         skip = without if without is not None and without.table_id == content.table_id else None
-        schema = content.schema
-        columns = [F.col(quoted(name)) for name in schema.names]
+        names = None if partitions is None else {partition_name(value) for value in partitions}
+        if names is not None and content.partition is None:
+            raise ValueError("the table is not partitioned")
+        shown = [F.col(quoted(file)).alias(name) for name, _, file in content.columns]
+        shown += [F.col("_batch")] if with_batch else []
         if content.batches is not None and (skip is None or skip.batches is not None):
-            skipped = set(skip.batches) if skip is not None else set()
-            paths = [self.batch_path(content.table_id, b) for b in content.batches if b not in skipped]
-            if not paths:
-                return no_rows(self.spark, schema)
-            return self.spark.read.schema(schema).parquet(*paths).select(columns)
+            same = set() if skip is None else {b for b in skip.batches if content.deletes_of(b) == skip.deletes_of(b)}
+            wanted = [b for b in content.batches if b not in same and (names is None or partition_of(b) in names)]
+            whole = [b for b in wanted if not content.deletes_of(b)]
+            touched = [b for b in wanted if content.deletes_of(b)]
+            frames = [self._read(content, whole, with_batch).select(shown)] if whole else []
+            if touched:
+                frames.append(self._left(content, self._read(content, touched, True)).select(shown))
+            if not frames:
+                return no_rows(self.spark, content.schema.add("_batch", "string") if with_batch else content.schema)
+            return reduce(DataFrame.union, frames)
         wanted = self.batch_list(content)
+        if names is not None:
+            wanted = wanted.where(F.substring_index("_batch", "~", -1).isin(sorted(names)))
         if skip is not None:
-            wanted = wanted.join(self.batch_list(skip), "_batch", "left_anti")
+            other = set(content.deletes) ^ set(skip.deletes)
+            if all(d.batches is not None for d in other):
+                changed = sorted({b for d in other for b in d.batches})
+                wanted = wanted.join(self.batch_list(skip).where(~F.col("_batch").isin(changed)), "_batch", "left_anti")
         if content.n_batches <= self.broadcast_limit:
             wanted = F.broadcast(wanted)
         root = f"{self.root}/data/table={content.table_id}"
-        rows = self.spark.read.schema(schema.add("_batch", "string")).parquet(root)
-        return rows.join(wanted, "_batch", "left_semi").select(columns)
+        rows = self.spark.read.schema(self._read_schema(content).add("_batch", "string")).parquet(root)
+        return self._left(content, rows.join(wanted, "_batch", "left_semi")).select(shown)
+
+    def _read_schema(self, content: Content) -> StructType:
+        """The version's columns and those that only its deletes still name, by their names in the files."""
+        kinds = {file: kind for d in content.deletes for file, kind in d.keys} | {file: kind for _, kind, file in content.columns}
+        return struct_of(list(kinds.items()))
+
+    def _read(self, content: Content, batches: Sequence[str], with_batch: bool) -> DataFrame:
+        paths = [self.batch_path(content.table_id, batch) for batch in batches]
+        if not with_batch:
+            return self.spark.read.schema(content.file_schema).parquet(*paths)
+        schema = self._read_schema(content).add("_batch", "string")
+        return self.spark.read.schema(schema).option("basePath", f"{self.root}/data/table={content.table_id}").parquet(*paths)
+
+    def deleted_keys(self, content: Content, deletes: Sequence[Delete], with_id: bool = False) -> DataFrame:
+        """_batch and the keys k0, k1 .. of deletes that have the same key columns; with their ids as _delete."""
+        kinds = {file: kind for _, kind, file in content.columns}
+        columns = [(file, kinds.get(file, kind)) for file, kind in deletes[0].keys]
+        paths = [self.delete_path(content.table_id, d.id) for d in deletes]
+        schema, reader = struct_of(columns).add("_batch", "string"), self.spark.read
+        if with_id:
+            schema, reader = schema.add("_delete", "string"), reader.option("basePath", f"{self.root}/deletes/table={content.table_id}")
+        files = reader.schema(schema).parquet(*paths)
+        return files.select("_batch", *["_delete"] * with_id, *[F.col(quoted(file)).alias(f"k{n}") for n, (file, _) in enumerate(columns)])
+
+    def _left(self, content: Content, rows: DataFrame) -> DataFrame:
+        """The rows that no delete names: one anti join for each set of key columns, by batch and keys."""
+        by_keys: dict[tuple, list[Delete]] = {}
+        for delete in content.deletes:
+            by_keys.setdefault(tuple(file for file, _ in delete.keys), []).append(delete)
+        for files, deletes in by_keys.items():
+            gone = self.deleted_keys(content, deletes)
+            same = [F.col(f"r.{quoted(file)}").eqNullSafe(F.col(f"g.k{n}")) for n, file in enumerate(files)]
+            rows = rows.alias("r").join(gone.alias("g"), reduce(and_, [F.col("r._batch") == F.col("g._batch"), *same]), "left_anti")
+        return rows
 
     # ---- staging ------------------------------------------------------------------
 

@@ -37,9 +37,12 @@ def _file_system(spark: SparkSession, path: str):
     return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def names_in(spark: SparkSession, path: str) -> list[str]:
+def names_in(spark: SparkSession, path: str, pattern: str | None = None) -> list[str]:
     """Names below a folder, from its listing alone; none if there is no such folder."""
     folder, files = _file_system(spark, path)
+    if pattern is not None:
+        found = files.globStatus(_file_system(spark, f"{path}/{pattern}")[0])
+        return [status.getPath().getName() for status in found or []]
     return [status.getPath().getName() for status in files.listStatus(folder)] if files.exists(folder) else []
 
 
