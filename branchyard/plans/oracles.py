@@ -262,4 +262,61 @@ ORACLES: dict[str, str] = {
         f" UNION ALL SELECT 'anew', count(*), {CENTS} FROM orders"
         f" UNION ALL SELECT 'kept', count(*), {CENTS} FROM orders WHERE {HISTORY}"
     ),
+    "delete_rows": (
+        "WITH l AS (SELECT *, NOT (l_returnflag = 'R' AND l_quantity < 10)"
+        " AND l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P') AS stays FROM lineitem)"
+        " SELECT 'kept' AS ref, l_returnflag, count(*) AS n_rows, CAST(sum(l_quantity::BIGINT) AS BIGINT) AS quantity,"
+        " CAST(3 AS BIGINT) AS shared_batches FROM l GROUP BY 2 UNION ALL"
+        " SELECT 'deleted', l_returnflag, count(*), CAST(sum(l_quantity::BIGINT) AS BIGINT), 3 FROM l WHERE stays GROUP BY 2"
+    ),
+    "update_rows": (
+        "WITH l AS (SELECT *, l_shipdate < TIMESTAMP '1995-01-01' AS old FROM lineitem)"
+        " SELECT * EXCLUDE (old) REPLACE (CASE WHEN old THEN l_tax ELSE l_discount END AS l_discount,"
+        " CASE WHEN old THEN l_discount ELSE l_tax END AS l_tax, CASE WHEN old THEN 'Z' ELSE l_returnflag END AS l_returnflag) FROM l"
+    ),
+    "upsert_rows": (
+        "SELECT s_suppkey, CASE WHEN s_acctbal < 0 THEN lower(s_name) ELSE s_name END AS s_name, s_nationkey,"
+        " CASE WHEN s_acctbal < 0 THEN 0.0 ELSE s_acctbal END::DOUBLE AS s_acctbal FROM supplier"
+        " UNION ALL SELECT -s_suppkey, lower(s_name), s_nationkey, 0.0::DOUBLE FROM supplier WHERE s_acctbal < 0"
+    ),
+    "overwrite_partitions": (
+        f"SELECT year(o_orderdate)::INTEGER AS year, count(*) AS n_rows, CASE WHEN year(o_orderdate) = 1997 THEN 1 ELSE -1 END * {CENTS} AS cents"
+        " FROM orders WHERE year(o_orderdate) = 1997 OR year(o_orderdate) IN (1995, 1996) AND o_orderstatus = 'F' GROUP BY 1, year(o_orderdate)"
+    ),
+    "evolve_columns": (
+        "SELECT c_custkey, c_name AS c_label, c_nationkey::BIGINT + CASE WHEN c_acctbal >= 0 AND c_nationkey = 3 THEN 5000000000 ELSE 0 END AS c_nationkey,"
+        " c_acctbal, CASE WHEN c_acctbal < 0 THEN 'debtor' END AS c_grade FROM customer"
+    ),
+    "revert_rows": "SELECT * REPLACE (CASE WHEN o_orderstatus = 'O' THEN '9-NONE' ELSE o_orderpriority END AS o_orderpriority) FROM orders",
+    "revert_conflicts": (
+        "SELECT * REPLACE (-1 - o_orderkey AS o_orderkey, -o_totalprice AS o_totalprice), CAST(2 AS BIGINT) AS n_missing"
+        " FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'"
+    ),
+    "pick_rows": (
+        "SELECT * FROM orders WHERE o_orderstatus <> 'P' UNION ALL"
+        " SELECT orders.* REPLACE (-1 - o_orderkey AS o_orderkey, -o_totalprice AS o_totalprice) FROM orders, range(2) WHERE o_orderstatus = 'F'"
+    ),
+    "row_history": (
+        "WITH c AS (SELECT c_custkey, c_mktsegment, c_acctbal, c_nationkey, CASE WHEN c_nationkey < 15 THEN 1 ELSE 2 END AS came,"
+        " CASE WHEN c_nationkey = 3 THEN 5 END AS rewritten FROM customer)"
+        " SELECT c_custkey, c_mktsegment, came::BIGINT AS valid_from,"
+        " CASE WHEN c_acctbal < 0 THEN 3 WHEN c_acctbal > 9000 THEN 4 ELSE rewritten END::BIGINT AS valid_to FROM c"
+        " UNION ALL SELECT c_custkey, 'DEBTOR', 3, rewritten FROM c WHERE c_acctbal < 0"
+    ),
+    "asof_events": (
+        "WITH e AS (SELECT event_id, user_id, TIMESTAMP '1995-01-01' + to_seconds(80 * ((epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01')) // 1000000)) AS moment FROM events)"
+        " SELECT event_id, user_id, moment, o_orderkey, o_orderdate AS since FROM e LEFT JOIN orders ON o_custkey = user_id AND o_orderdate <= moment"
+        " QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY o_orderdate DESC NULLS LAST, o_orderkey DESC) = 1"
+    ),
+    "windowed_stream": (
+        "WITH e AS (SELECT date_trunc('day', ts) AS window_start, event_type, CAST(round(value * 100) AS BIGINT) AS c,"
+        " ts < TIMESTAMP '2024-01-06' AND event_id % 10 = 0 AS held FROM events)"
+        " SELECT window_start::TIMESTAMP AS window_start, event_type, count(*) AS n_rows, CAST(sum(c) AS BIGINT) AS cents,"
+        " CASE WHEN NOT held THEN window_start + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY END AS closed"
+        " FROM e GROUP BY window_start, event_type, held"
+    ),
+    "maintained_totals": (
+        "SELECT o_custkey, count(*) AS n_rows, CAST(sum(CASE WHEN o_orderstatus = 'P' THEN 0 ELSE CAST(round(o_totalprice * 100) AS BIGINT) END) AS BIGINT) AS cents,"
+        " min(o_orderdate) AS first_day, max(o_orderdate) AS last_day FROM orders WHERE o_orderstatus = 'P' OR NOT (o_orderpriority = '1-URGENT' OR o_custkey % 7 = 0) GROUP BY 1"
+    ),
 }
