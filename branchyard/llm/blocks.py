@@ -178,6 +178,15 @@ class Block:
             raise RuntimeError("a block of documents changed while it was read; give a written table")
         self.values, self.sizes = gathered(np.concatenate(sizes), np.concatenate(values), first)
 
+    def each(self) -> Iterator[np.ndarray]:
+        """The results of one document after the other."""
+        begins = np.cumsum(self.sizes) - self.sizes
+        for a, b in zip(self.ends - self.lengths, self.ends):
+            places = self.places[a:b]
+            own = self.sizes[places]
+            at = np.repeat(begins[places] - (np.cumsum(own) - own), own)
+            yield self.values[at + np.arange(len(at))]
+
     def results(self) -> tuple[np.ndarray, np.ndarray]:
         """The results of all words of the documents in order, and how many each word has."""
         return gathered(self.sizes, self.values, self.places)

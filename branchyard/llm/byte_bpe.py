@@ -80,16 +80,14 @@ def pre_tokens(text: str, pattern: str) -> list[str]:
     return narrow(text) if text.isascii() or max(text) <= "\xff" else wide(text)
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids array<int>): the token ids of each whole text, without special tokens."""
-
-    def start():
-        one = encoding(ranks_path, pattern)._encode_single_piece
+def _encoder(ranks_path: str, pattern: str):
+    """What turns distinct pre-tokens into ids."""
+    one = encoding(ranks_path, pattern)._encode_single_piece
+    return lambda words: sized([one(word.encode()) for word in words])
 
-        def work(words):
-            return sized([one(word.encode()) for word in words])
 
-        return work
+def encode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, ids array<int>): the token ids of each whole text, without special tokens."""
 
     def finish(block: Block):
         ids, sizes = block.results()
@@ -98,7 +96,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc
         return pa.table({"doc_id": pa.array(block.doc_ids, pa.int64()), "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.view(np.int32)))})
 
     split = partial(pre_tokens, pattern=pattern)
-    return once_per_word(docs, split, start, finish, "doc_id long, ids array<int>", id_col=id_col, text_col=text_col)
+    return once_per_word(docs, split, partial(_encoder, ranks_path, pattern), finish, "doc_id long, ids array<int>", id_col=id_col, text_col=text_col)
 
 
 def _decoded(batches, ranks_path):
@@ -115,22 +113,21 @@ def decode(encoded: DataFrame, ranks_path: str, *, id_col: str = "doc_id", ids_c
     return rows.mapInArrow(lambda batches: _decoded(batches, ranks_path), "doc_id long, ids array<int>, bytes binary")
 
 
-def _digested(batches):
-    for batch in batches:
-        lists = column(batch, "ids")
-        ids = [hashlib.sha256(np.asarray(x.values, "<u4").tobytes()).hexdigest() for x in lists]
-        yield pa.record_batch(
-            {
-                "doc_id": column(batch, "doc_id"),
-                "n_tokens": pa.array([len(x) for x in lists], pa.int64()),
-                "ids_sha256": pa.array(ids, pa.string()),
-                "decoded_sha256": pa.array([hashlib.sha256(x.as_py()).hexdigest() for x in column(batch, "bytes")], pa.string()),
-            }
-        )
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256): texts encoded, and their ids decoded again.
 
+    As encode(), decode() and digests, but a task takes one document after the other in the worker that
+    puts its block together, so that neither ids nor bytes of a block are held or sent on whole.
+    """
 
-def round_trip(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256): texts encoded, and their ids decoded again."""
-    encoded = encode(docs, ranks_path, pattern, id_col=id_col, text_col=text_col)
-    # as decode() and then digests, but in one Python worker a task instead of two
-    return encoded.mapInArrow(lambda batches: _digested(_decoded(batches, ranks_path)), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    def finish(block: Block):
+        table, out = token_bytes(ranks_path), ([], [], [])
+        for ids in block.each():
+            out[0].append(len(ids))
+            out[1].append(hashlib.sha256(np.asarray(ids, "<u4").tobytes()).hexdigest())
+            out[2].append(hashlib.sha256(b"".join(map(table.__getitem__, ids.tolist()))).hexdigest())
+        return pa.table({"doc_id": pa.array(block.doc_ids, pa.int64()), "n_tokens": pa.array(out[0], pa.int64()), "ids_sha256": pa.array(out[1], pa.string()), "decoded_sha256": pa.array(out[2], pa.string())})
+
+    split = partial(pre_tokens, pattern=pattern)
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return once_per_word(docs, split, partial(_encoder, ranks_path, pattern), finish, schema, id_col=id_col, text_col=text_col)
