@@ -72,32 +72,86 @@ def grams(word: str) -> list[str]:
     return [word[:n] for n in BEGINNINGS if len(word) >= n] + [word + "|"]
 
 
-def features(text: str, lexicon: dict[str, float]) -> list[float]:
+class Vocabulary(dict):
+    """Number of each raw word seen so far, and by number what the features need of it.
+
+    A word is folded and looked up once for all its places. Beyond WORDS_HELD words it starts anew.
+    """
+
+    def __init__(self, lexicon: dict[str, float]) -> None:
+        super().__init__()
+        self.lexicon = lexicon
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.folded: dict[str, int] = {}
+        self.rows: list[tuple] = []  # not yet in the table
+        self.table, self.filled = np.zeros((0, 6)), 0
+
+    def __missing__(self, word: str) -> int:
+        low = folded(word)
+        weight = max((self.lexicon.get(g, 0.0) for g in grams(low)), default=0.0)
+        own = self.folded.setdefault(low, len(self.folded))
+        self.rows.append((weight, low in INSULTS, low in YOU, len(word), len(word) > 1 and word.isupper(), own))
+        number = self[word] = self.filled + len(self.rows) - 1
+        return number
+
+    def of(self, words: list[str]) -> np.ndarray:
+        """weight, insult, second person, letters, in capitals, number of the folded word; a row a word."""
+        if len(self) > WORDS_HELD:
+            self.forget()
+        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        if self.rows:
+            new = self.filled + len(self.rows)
+            if new > len(self.table):
+                self.table = np.concatenate([self.table, np.zeros((new, 6))])
+            self.table[self.filled : new] = self.rows
+            self.filled, self.rows = new, []
+        return self.table[at]
+
+
+#: Words that a task remembers.
+WORDS_HELD = 200_000
+# the two below are there only where these find something
+JOINT = re.compile(r"[0-9@$!*]+(?=[^\W\d_])")
+DOUBLED = re.compile(r"([#$%&*@])\1")
+NOT_ASCII = re.compile(r"[^\x00-\x7f]")
+
+
+def capitals(text: str) -> int:
+    data = np.frombuffer(text.encode(), np.uint8)
+    n = int(((data >= 65) & (data <= 90)).sum())
+    return n if text.isascii() else n + sum(map(str.isupper, NOT_ASCII.findall(text)))
+
+
+def features(text: str, lexicon: Vocabulary | dict[str, float]) -> list[float]:
     """The dense features of a whole text."""
-    words = WORD.findall(text)
     if not text:
         return [0.0] * N_FEATURES
-    low = [folded(w) for w in words]
+    words = WORD.findall(text)
+    vocabulary = lexicon if isinstance(lexicon, Vocabulary) else Vocabulary(lexicon)
+    weight, insult, you, letters_of, shouted, own = vocabulary.of(words).T
     n = len(words)
-    weight = {w: max((lexicon.get(g, 0.0) for g in grams(w)), default=0.0) for w in set(low)}
-    insults = [k for k, w in enumerate(low) if w in INSULTS]
-    strong = [k for k, w in enumerate(low) if weight[w] >= 3]
-    weak = sum(0 < weight[w] < 3 for w in low)
-    hits = sorted({*insults, *strong})
-    near = sum(any(w in YOU for w in low[max(0, k - NEAR) : k + NEAR + 1]) for k in hits)
-    disguised = DISGUISED.findall(text)
+    insults, strong, weak = insult > 0, weight >= 3, (weight > 0) & (weight < 3)
+    hits = np.flatnonzero(insults | strong)
+    before = np.concatenate([[0], np.cumsum(you)])
+    near = int((before[np.minimum(hits + NEAR + 1, n)] > before[np.maximum(hits - NEAR, 0)]).sum())
+    joint = any(m.start() and WORD.match(text[m.start() - 1]) for m in JOINT.finditer(text))
+    disguised = DISGUISED.findall(text) if joint else []
     uncovered = sum(folded(w.translate(PLAIN)) in INSULTS for w in disguised)
-    letters = sum(map(len, words))
-    upper = sum(map(str.isupper, text)) if letters else 0
+    marked = MARKED.findall(text) if DOUBLED.search(text) else []
+    letters = int(letters_of.sum())
+    upper = capitals(text) if letters else 0
     marks = text.count("!") + text.count("?")
     size = max(1, n)
     return [
-        len(insults) / size, float(len(insults)), len(strong) / size, float(len(strong)), weak / size, float(weak),
-        sum(weight[w] for w in low) / size, float(len({low[k] for k in hits})), near / size, near / max(1, len(hits)),
-        upper / max(1, letters), sum(len(w) > 1 and w.isupper() for w in words) / size,
+        insults.sum() / size, float(insults.sum()), strong.sum() / size, float(strong.sum()), weak.sum() / size, float(weak.sum()),
+        float(weight.sum()) / size, float(len(np.unique(own[hits]))), near / size, near / max(1, len(hits)),
+        upper / max(1, letters), float(shouted.sum()) / size,
         marks / size, (len(text) - letters - text.count(" ")) / len(text),
-        len(disguised) / size, float(uncovered), len(MARKED.findall(text)) / size, math.log1p(n),
-    ]
+        len(disguised) / size, float(uncovered), len(marked) / size, math.log1p(n),
+    ]
 
 
 N_FEATURES = 18
@@ -117,8 +171,9 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _with_features(batches: Iterator[pa.RecordBatch], lexicon: dict[str, float]) -> Iterator[pa.RecordBatch]:
+    vocabulary = Vocabulary(lexicon)
     for batch in batches:
-        made = [features(text.as_py() or "", lexicon) for text in column(batch, "text")]
+        made = [features(text.as_py() or "", vocabulary) for text in column(batch, "text")]
         yield pa.record_batch({"toxic": column(batch, "toxic").cast(pa.float64()), "part": column(batch, "part"), "features": pa.array(made, pa.list_(pa.float64()))})
 
 
@@ -142,8 +197,10 @@ class ToxicityModel:
         else:
             lexicon = self.lexicon
 
-            def all_features(texts):
-                return pd.Series([features(text or "", lexicon) for text in texts])
+            def all_features(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+                vocabulary = Vocabulary(lexicon)
+                for texts in batches:
+                    yield pd.Series([features(text or "", vocabulary) for text in texts])
 
             made = F.pandas_udf(all_features, "array<double>")
             rows = rows.select("row", array_to_vector(made("text")).alias("features"))
@@ -169,8 +226,9 @@ def learn(
     held_out: int = 2,
     calibration: int = 3,
     max_labelled: int = MAX_LABELLED,
+    max_lexicon: int = LEXICON,
 ) -> ToxicityModel:
-    """Fits lexicon, trees and calibration to at most ``max_labelled`` labelled rows."""
+    """Fits lexicon, trees and calibration to at most ``max_labelled`` labelled rows; at most ``max_lexicon`` entries are learned."""
     python_tasks(docs.sparkSession)
     ids = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("toxic")).dropna().groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     ids = ids.withColumn("part", fold(F.col("doc_id"))).where(F.col("part") != held_out)
@@ -184,8 +242,8 @@ def learn(
     n = {(row["calibrates"], row["is_toxic"]): row["count"] for row in by_use.collect()}  # four rows at most
     n_toxic, n_clean = n.get((False, True), 0), n.get((False, False), 0)
     if not n_toxic or not n_clean:
-        return ToxicityModel({}, None, None, float(n_toxic > 0))
-    lexicon = learned_lexicon(fitting, n_toxic, n_clean)
+        return ToxicityModel({}, None, None, sum(k for (_, toxic), k in n.items() if toxic) / max(1, sum(n.values())))
+    lexicon = learned_lexicon(fitting, n_toxic, n_clean, max_lexicon)
     made = rows.select("text", "toxic", "part").mapInArrow(lambda batches: _with_features(batches, lexicon), "toxic double, part int, features array<double>")
     made = stored(made.select("toxic", "part", "features"), "labelled-features").select("toxic", "part", array_to_vector("features").alias("features"))
     trees = GBTClassifier(labelCol="toxic", featuresCol="features", maxIter=30, maxDepth=3, stepSize=0.2, seed=1).fit(made.where(F.col("part") != calibration).repartition(4, "features"))
@@ -197,10 +255,10 @@ def learn(
     return ToxicityModel(lexicon, trees, curve, 0.0)
 
 
-def learned_lexicon(rows: DataFrame, n_toxic: int, n_clean: int) -> dict[str, float]:
+def learned_lexicon(rows: DataFrame, n_toxic: int, n_clean: int, most: int = LEXICON) -> dict[str, float]:
     """Entries and weights (log odds) of terms that toxic texts have more often than chance explains.
 
-    The terms are counted in Spark over all given rows; at most LEXICON entries are returned.
+    The terms are counted in Spark over all given rows; at most ``most`` entries are returned.
     """
     base = n_toxic / (n_toxic + n_clean)
     terms = rows.select("text", F.col("toxic").cast("long").alias("toxic")).mapInArrow(_terms, "term string, toxic long")
@@ -209,7 +267,7 @@ def learned_lexicon(rows: DataFrame, n_toxic: int, n_clean: int) -> dict[str, fl
     clean = F.when(n > a, (n - a) * F.log((n - a) / (n * (1 - base)))).otherwise(0.0)
     odds = F.log(((a + 0.5) / (n_toxic + 1)) / ((n - a + 0.5) / (n_clean + 1)))
     scored = counts.select("term", (a * F.log(a / (n * base)) + clean).alias("evidence"), odds.alias("odds")).where((F.col("evidence") >= EVIDENCE) & (F.col("odds") >= 1))
-    return {row["term"]: row["odds"] for row in scored.orderBy(F.desc("evidence"), "term").limit(LEXICON).collect()}
+    return {row["term"]: row["odds"] for row in scored.orderBy(F.desc("evidence"), "term").limit(most).collect()}
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3, **options) -> DataFrame:
