@@ -52,6 +52,8 @@ PER_BAND = 4
 EMPTY = np.uint32(0xFFFFFFFF)
 #: Members of a list that one block holds; a longer list is compared block by block.
 BLOCK = 512
+#: Pivots of each kind that a member is held against first; it has at most BANDS of each.
+PIVOTS = 2
 #: Pairs of members that are held against each other at once.
 PAIRS = 1 << 13
 
@@ -218,10 +220,17 @@ class NearDuplicates:
         return stored(rows.drop("n").join(pivots, "key"), "lists")
 
     def pivot_pairs(self, lists: DataFrame) -> DataFrame:
-        """Pairs (a, b) of a list's member and pivot, but for those whose sizes alone rule the similarity out."""
-        rows = lists.select("node", "size", F.explode(F.array("central", "drawn")).alias("pivot"))
+        """Pairs (a, b) of a member and the pivots of its lists that most of its lists name, PIVOTS of each kind.
+
+        A list's pivot whose size alone rules the similarity out is left out. What these few pairs do not
+        link is held against each other afterwards, so no link hangs on the number.
+        """
+        rows = lists.select("node", "size", F.inline(F.array(F.struct(F.lit(0).alias("kind"), F.col("central").alias("pivot")), F.struct(F.lit(1).alias("kind"), F.col("drawn").alias("pivot")))))
         larger, smaller = F.greatest("size", "pivot.size"), F.least("size", "pivot.size")
         rows = rows.where(F.col("pivot.node") != F.col("node")).where(100 * smaller >= self.percent * larger)
+        named = rows.groupBy("node", "kind", "pivot").agg(F.count(F.lit(1)).alias("n"))
+        best = F.slice(F.sort_array(F.collect_list(F.struct("n", "pivot")), asc=False), 1, PIVOTS)
+        rows = named.groupBy("node", "kind").agg(best.alias("best")).select("node", F.explode("best.pivot").alias("pivot"))
         return rows.select(F.least("node", "pivot.node").alias("a"), F.greatest("node", "pivot.node").alias("b")).distinct()
 
     def candidates(self, pairs: DataFrame) -> DataFrame:
