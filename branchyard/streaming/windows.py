@@ -82,7 +82,8 @@ def watermark(windows: DataFrame, delay: str) -> DataFrame:
 
 def with_closed(windows: DataFrame, delay: str) -> DataFrame:
     """The windows with ``closed``: whether no row can come to them any more."""
-    return windows.join(F.broadcast(watermark(windows, delay))).withColumn("closed", F.coalesce(F.col("window_end") <= F.col("watermark"), F.lit(False))).drop("watermark")
+    passed = watermark(windows, delay).first()["watermark"]
+    return windows.withColumn("closed", F.lit(False) if passed is None else F.col("window_end") <= F.lit(passed))
 
 
 def add_windows(
