@@ -20,6 +20,7 @@ table gives no rows. Only the two named columns are read.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -164,13 +165,20 @@ def resolved(data: bytes, tried: list[Rule] | tuple[Rule, ...]) -> list[tuple[in
         found += [(m.start(), m.end(), rule) for m in rule.pattern.finditer(data)]
     found.sort(key=lambda d: (-d[2].strength, d[0] - d[1], d[0]))
     kept: list[tuple[int, int, Rule]] = []
+    # the detections so far that no other one holds: starts and ends both grow
+    starts: list[int] = []
+    ends: list[int] = []
     for start, end, rule in found:
-        if rule.base or not any(s <= start and end <= e for s, e, _ in kept):
+        at = bisect_right(starts, start)
+        held = at > 0 and ends[at - 1] >= end
+        if rule.base or not held:
             kept.append((start, end, rule))
+        if not held:
+            low, high = bisect_left(starts, start), bisect_right(ends, end)
+            starts[low:high], ends[low:high] = [start], [end]
     return kept
 
 
-
 def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
