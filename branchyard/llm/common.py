@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from branchyard.functions.expressions import quoted
 from branchyard.session import work_folder
 
 #: Bytes that Spark hands to Python at once at most: a batch has to fit a Python worker.
@@ -44,18 +45,31 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(folder)
 
 
+def free_name(frame: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as no column of the frame has."""
+    taken = {column.lower() for column in frame.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def row_ids(docs: DataFrame, id_col: str) -> tuple[DataFrame, str]:
     """The rows, and a column whose values that are not null name one row each, in the order of the ids.
 
     That is the id itself unless an id stands in two rows. Then the rows are written with a number
-    that grows with the id; null ids have a null number.
+    that grows with the id, in a column of a name that they do not have; null ids have a null number.
+    Rows of one id stand by a hash of the row, so columns may have any type; equal rows are
+    dealt out by where they were read.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id")).where("id IS NOT NULL")
     if rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
         return docs, id_col
-    rows = docs.orderBy(F.col(id_col).cast("long"), *(c for c in docs.columns if c != id_col))
-    number = F.when(F.col(id_col).cast("long").isNotNull(), F.monotonically_increasing_id())
-    return stored(rows.withColumn("_row_id", number), "rows"), "_row_id"
+    name = free_name(docs, "_row_id")
+    columns = [F.col(quoted(c)) for c in docs.columns]
+    key = F.col(id_col).cast("long")
+    placed = docs.select(F.struct(*columns).alias("row"), key.alias("id"), F.xxhash64(F.to_json(F.struct(*columns))).alias("digest"), F.monotonically_increasing_id().alias("place"))
+    number = F.when(F.col("id").isNotNull(), F.monotonically_increasing_id())
+    return stored(placed.orderBy("id", "digest", "place").select("row.*", number.alias(name)), "rows"), name
 
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:

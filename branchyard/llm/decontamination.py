@@ -36,7 +36,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from branchyard.llm.common import FACTOR, INVERSE, bit_filter, column, mixed, passes, powers, python_tasks, row_ids, span_hashes, stored, word_spans
+from branchyard.functions.expressions import quoted
+from branchyard.llm.common import FACTOR, INVERSE, bit_filter, column, free_name, mixed, passes, powers, python_tasks, row_ids, span_hashes, stored, word_spans
 
 #: The masks; 1 keeps a word, 0 ignores it. Each keeps 7 of up to 13 words. Every
 #: run of MIN_WORDS words or more that agrees in PERCENT of them is met by one of them.
@@ -120,15 +121,13 @@ def best_run(same: np.ndarray, min_words: int, percent: int) -> tuple[int, int]
         return None
     # with 100 for an agreeing word and a loss of ``percent`` for every word, a stretch is good if its sum is not negative
     sums = np.concatenate([[0], np.cumsum(100 * same.astype(np.int64) - percent)])
-    best = None
-    for first in at:
-        good = np.flatnonzero(sums[first + 1 :] >= sums[first])
-        length = int(good[-1]) + 1 if len(good) else 0
-        while length and not same[first + length - 1]:
-            length -= 1
-        if length >= min_words and (best is None or length > best[1]):
-            best = (int(first), length)
-    return best
+    # the greatest sum behind an agreeing word at or after each place falls from left to right
+    ahead = np.full(len(sums), sums.min() - 1)
+    ahead[at + 1] = sums[at + 1]
+    ahead = np.maximum.accumulate(ahead[::-1])[::-1]
+    lengths = np.searchsorted(-ahead, -sums[at], side="right") - 1 - at
+    best = int(np.argmax(lengths))
+    return (int(at[best]), int(lengths[best])) if lengths[best] >= min_words else None
 
 
 def _checked(batches: Iterator[pa.RecordBatch], min_words: int, percent: int) -> Iterator[pa.RecordBatch]:
@@ -200,5 +199,6 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str =
     Of an id that stands in several rows, only the rows whose own text is contaminated go.
     """
     rows, row = row_ids(docs, id_col)
-    found = contaminations(rows, benchmark, id_col=row, **options).select(F.col("doc_id").alias("_contaminated")).distinct()
-    return rows.join(found, F.col(row).cast("long") == F.col("_contaminated"), "left_anti").select(docs.columns)
+    name = free_name(rows, "_contaminated")
+    found = contaminations(rows, benchmark, id_col=row, **options).select(F.col("doc_id").alias(name)).distinct()
+    return rows.join(found, F.col(row).cast("long") == F.col(name), "left_anti").select([quoted(c) for c in docs.columns])
