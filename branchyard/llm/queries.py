@@ -41,7 +41,7 @@ def op5_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations 2p and 2p + 1 are the chosen and the rejected side of pair p."""
     turns = table(spark, sf_dir, "conversations")
     return preferences.preference_pairs(
-        turns.select(F.expr("conv_id DIV 2").alias("pair_id"), (F.col("conv_id") % 2 == 0).alias("is_chosen"), "turn", "role", "text")
+        turns.select(F.shiftright("conv_id", 1).alias("pair_id"), (F.col("conv_id") % 2 == 0).alias("is_chosen"), "turn", "role", "text")
     )
 
 
@@ -124,7 +124,7 @@ ORACLES = {
     """,
     "op5_preferences": """
         WITH t AS (
-            SELECT conv_id // 2 AS pair_id, conv_id % 2 = 0 AS is_chosen, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+            SELECT (conv_id - abs(conv_id % 2)) // 2 AS pair_id, conv_id % 2 = 0 AS is_chosen, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
                 row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
             FROM conversations WHERE conv_id IS NOT NULL
         ),
