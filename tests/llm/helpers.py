@@ -19,5 +19,5 @@ def clashing(docs):
     """Further columns with names that operators use themselves."""
     from pyspark.sql import functions as F
 
-    names = ["features", "score", "row", "node", "key", "label", "ids", "shift", "_min", "hash", "block", "range"]
+    names = ["features", "score", "row", "node", "key", "label", "ids", "shift", "_min", "hash", "block", "range", "_row_id", "_contaminated"]
     return docs.withColumns({name: F.lit("x") for name in names})

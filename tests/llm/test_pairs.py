@@ -213,6 +213,19 @@ def test_replaced_words_at_any_place_are_found(spark):
     assert len(want) > 13 * 40
 
 
+def test_the_longest_good_stretch():
+    drawn = np.random.default_rng(3)
+    for n in [*range(1, 40), 200]:
+        for share in (0.3, 0.7, 0.9):
+            same = drawn.random(n) < share
+            good = [
+                (i, j - i) for i in range(n) for j in range(i + 1, n + 1)
+                if same[i] and same[j - 1] and 100 * same[i:j].sum() >= 80 * (j - i) and j - i >= 5
+            ]
+            want = max(good, key=lambda run: (run[1], -run[0]), default=None)
+            assert decontamination.best_run(same, 5, 80) == want, (same, want)
+
+
 def test_looser_rules_than_the_masks_hold_are_an_error(spark):
     docs, items = frame(spark, ODD), frame(spark, [(1, "x")], "item_id long, text string")
     for options in ({"min_words": 12}, {"percent": 79}):

@@ -2,8 +2,10 @@ from __future__ import annotations
 
 import random
 import re
+import time
 from zlib import crc32
 
+import duckdb
 from pyspark.sql import functions as F
 
 from branchyard.llm import license_scan, preferences, toxicity
@@ -50,6 +52,28 @@ def test_weaker_detections_within_stronger_ones_go():
     assert len(license_scan.rules()) > 300 and license_scan.detections("no such word") == []
 
 
+def test_a_detection_goes_where_any_earlier_one_holds_it():
+    drawn = random.Random(12)
+    words = ["mit", "license", "licensed under the apache license, version 2.0", "spdx-license-identifier: mit", "gnu lesser general public license v3", "apache license"]
+    for _ in range(60):
+        data = " ".join(drawn.choices(words, k=40)).encode()
+        found = [(m.start(), m.end(), rule) for rule in license_scan.rules() for m in rule.pattern.finditer(data)]
+        found.sort(key=lambda d: (-d[2].strength, d[0] - d[1], d[0]))
+        want = [d for k, d in enumerate(found) if d[2].base or not any(s <= d[0] and d[1] <= e for s, e, _ in found[:k])]
+        assert license_scan.resolved(data, license_scan.rules()) == want
+
+
+def test_time_of_many_detections_grows_with_their_number():
+    text = "licensed under the apache license, version 2.0\n"
+    license_scan.detections(text)
+    took = []
+    for n in (1_000, 8_000):
+        started = time.process_time()
+        assert len(license_scan.detections(text * n)) == 2 * n
+        took.append(time.process_time() - started)
+    assert took[1] < 20 * took[0]
+
+
 GAPS = [" ", "\n", "  ", "\n * ", "\r\n// ", "-", " (", "...\t"]
 
 
@@ -165,3 +189,15 @@ def test_features_see_insults_capitals_and_disguise():
     plain, rude = toxicity.features("the house is old", {}), toxicity.features("YOU are an IDIOT!! st*pid 1d1ot", {})
     assert rude[0] > plain[0] == 0 and rude[8] > 0 and rude[10] > plain[10] and rude[12] > 0
     assert toxicity.features("", {}) == [0.0] * toxicity.N_FEATURES == [0.0] * len(plain)
+
+
+def test_pairs_of_ids_below_zero(spark):
+    from branchyard.llm import queries
+
+    rows = [(conv, turn, "assistant", f"{conv} {turn}") for conv in (-4, -3, -2, -1, 0, 1) for turn in (0, 1)]
+    folder = f"{queries.work_folder(spark, 'negative')}"
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(f"{folder}/conversations.parquet")
+    got = {r.pair_id: (r.n_chosen_turns, r.n_rejected_turns) for r in queries.op5_preferences(spark, folder).collect()}
+    assert got == {-2: (2, 2), -1: (2, 2), 0: (2, 2)}
+    view = f"WITH conversations AS (SELECT * FROM read_parquet('{folder}/conversations.parquet/*.parquet')) SELECT * FROM ({queries.ORACLES['op5_preferences']})"
+    assert sorted(duckdb.sql(view).fetchall()) == sorted(map(tuple, queries.op5_preferences(spark, folder).collect()))
