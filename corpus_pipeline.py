@@ -11,6 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from branchyard.functions.expressions import quoted
 from branchyard.llm import byte_bpe, decontamination, near_duplicates, toxicity
 from branchyard.llm.common import row_ids
 from branchyard.session import work_folder
@@ -30,12 +31,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """
     rows, row = row_ids(docs, "doc_id")
     copies = near_duplicates.near_duplicates(rows, id_col=row).where("NOT kept").select(F.col("doc_id").alias(row)).distinct()
-    return rows.join(copies, row, "left_anti").select(docs.columns)
+    return rows.join(copies, row, "left_anti").select([quoted(c) for c in docs.columns])
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of a benchmark item; rows of a repeated doc_id are decided on one by one."""
-    return decontamination.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(docs.columns)
+    return decontamination.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
