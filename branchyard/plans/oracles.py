@@ -22,6 +22,27 @@ def values(columns: str, *rows: str) -> str:
     return " UNION ALL ".join([f"SELECT {named}", *[f"SELECT {row.replace('; ', ', ')}" for row in others]])
 
 
+def explained(names: tuple[str, ...], share: float) -> str:
+    """The smallest groups with a share of the changed rows of lineitem: all subsets, then those without a heavy one within."""
+    same = " AND ".join(f"(h.f_{n} = 0 OR k.f_{n} = 1 AND h.{n} IS NOT DISTINCT FROM k.{n})" for n in names)
+    count = lambda t: " + ".join(f"{t}.f_{n}" for n in names)
+    listed, flags = ", ".join(names), ", ".join(f"1 - grouping({n}) AS f_{n}" for n in names)
+    fixed = ", ".join(f"CASE WHEN f_{n} = 1 THEN '{n}' END" for n in names)
+    return (
+        "WITH b AS (SELECT * FROM lineitem), added AS (SELECT * REPLACE (-1 - l_orderkey AS l_orderkey) FROM b WHERE l_orderkey % 25 = 0),"
+        " u AS (SELECT * REPLACE (CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' AND year(l_shipdate) = 1994 AND l_orderkey > 0 THEN l_tax + 1 ELSE l_tax END AS l_tax)"
+        " FROM (SELECT * FROM b UNION ALL SELECT * FROM added)),"
+        " a AS (SELECT * FROM u WHERE NOT (l_linenumber = 3 AND l_quantity > 25)),"
+        " d AS (SELECT *, 1 AS plus, 0 AS minus FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)"
+        " UNION ALL SELECT *, 0, 1 FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)),"
+        " e AS (SELECT l_returnflag, l_linestatus, year(l_shipdate)::INTEGER AS ship_year, l_linenumber, l_orderkey < 0 AS copied, plus, minus FROM d),"
+        f" g AS (SELECT {listed}, {flags}, sum(plus)::BIGINT AS n_added, sum(minus)::BIGINT AS n_removed FROM e GROUP BY CUBE ({listed})),"
+        f" h AS (SELECT * FROM g WHERE n_added + n_removed >= {share}::DOUBLE * (SELECT count(*) FROM e))"
+        f" SELECT concat_ws(', ', {fixed}) AS fixed, {listed}, n_added, n_removed, (SELECT count(*) FROM e) AS n_total FROM h"
+        f" WHERE NOT EXISTS (SELECT 1 FROM h k WHERE {count('k')} = {count('h')} + 1 AND {same})"
+    )
+
+
 ORACLES: dict[str, str] = {
     "csv_header_scan": "SELECT * FROM customer",
     "csv_headerless_scan": (
@@ -315,6 +336,15 @@ ORACLES: dict[str, str] = {
         " CASE WHEN NOT held THEN window_start + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY END AS closed"
         " FROM e GROUP BY window_start, event_type, held"
     ),
+    "session_stream": (
+        "WITH e AS (SELECT user_id, ts, CAST(round(value * 100) AS BIGINT) AS c, day(ts) < 6 AND event_id % 10 = 0 AS late FROM events),"
+        " b AS (SELECT *, coalesce(ts >= lag(ts) OVER w + INTERVAL 6 HOUR, true) AS begins FROM e WHERE NOT late WINDOW w AS (PARTITION BY user_id ORDER BY ts)),"
+        " s AS (SELECT *, sum(begins::INTEGER) OVER (PARTITION BY user_id ORDER BY ts) AS n FROM b)"
+        " SELECT user_id, min(ts)::TIMESTAMP AS session_start, (max(ts) + INTERVAL 6 HOUR)::TIMESTAMP AS session_end, count(*) AS n_rows, CAST(sum(c) AS BIGINT) AS cents,"
+        " max(ts) + INTERVAL 6 HOUR <= (SELECT max(ts) FROM e WHERE NOT late) - INTERVAL 5 DAY AS closed FROM s GROUP BY user_id, n"
+        " UNION ALL SELECT user_id, min(ts), NULL, count(*), CAST(sum(c) AS BIGINT), NULL FROM e WHERE late GROUP BY user_id"
+    ),
+    "explain_difference": explained(("l_returnflag", "l_linestatus", "ship_year", "l_linenumber", "copied"), 0.04),
     "maintained_totals": (
         "SELECT o_custkey, count(*) AS n_rows, CAST(sum(CASE WHEN o_orderstatus = 'P' THEN 0 ELSE CAST(round(o_totalprice * 100) AS BIGINT) END) AS BIGINT) AS cents,"
         " min(o_orderdate) AS first_day, max(o_orderdate) AS last_day FROM orders WHERE o_orderstatus = 'P' OR NOT (o_orderpriority = '1-URGENT' OR o_custkey % 7 = 0) GROUP BY 1"

@@ -14,6 +14,7 @@ from branchyard.errors import AuditFailed, MergeConflict, StaleHead
 from branchyard.functions.expressions import counted_once, header_line
 from branchyard.operators import audit, changes, cleanup, merge
 from branchyard.operators.asof import asof_join
+from branchyard.operators.explain import explain_difference as explained
 from branchyard.operators.store import BranchStore
 from branchyard.operators.totals import refresh_totals
 from branchyard.plans.workflow import (
@@ -34,6 +35,7 @@ from branchyard.sources.files import (
     write_csv,
 )
 from branchyard.streaming.ingest import stream_files
+from branchyard.streaming.sessions import closed_sessions, stream_sessions
 from branchyard.streaming.windows import stream_windows, with_closed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -721,6 +723,20 @@ def row_diff_rewritten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.row_diff(box.store, "shop.lineitem", "main", branch.ref)
 
 
+@query
+def explain_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which rows of `lineitem` an update, a delete and an append changed, told by what the rows have in common."""
+    box = sandbox(spark, sf_dir)
+    box.load("lineitem")
+    branch = box.branch("changed")
+    lines = branch.table("shop.lineitem")
+    branch.append("shop.lineitem", lines.where("l_orderkey % 25 = 0").withColumn("l_orderkey", F.expr("-1 - l_orderkey")))
+    branch.update("shop.lineitem", "l_returnflag = 'R' AND l_linestatus = 'F' AND year(l_shipdate) = 1994 AND l_orderkey > 0", {"l_tax": "l_tax + 1"})
+    branch.delete("shop.lineitem", "l_linenumber = 3 AND l_quantity > 25")
+    by = {"l_returnflag": "l_returnflag", "l_linestatus": "l_linestatus", "ship_year": "year(l_shipdate)", "l_linenumber": "l_linenumber", "copied": "l_orderkey < 0"}
+    return explained(box.store, "shop.lineitem", "main", branch.ref, by, share=0.04)
+
+
 @query
 def schema_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.schema_diff(workflow(spark, sf_dir).store, "shop.customer", "main", "dev", with_values=True)
@@ -859,6 +875,26 @@ def windowed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return days.union(late)
 
 
+@query
+def session_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of users from three arrivals: the last has rows that join sessions, and rows that come too late."""
+    events = given(spark, sf_dir, "events")
+    branch = (box := sandbox(spark, sf_dir)).branch("sessions")
+    folder, delay = work_folder(spark, "arriving"), "5 DAYS"
+    day = F.dayofmonth("ts")
+    held = (F.col("event_id") % 10 == 0) & ((day < 6) | day.between(18, 20))
+    for part in (events.where(~held & (day <= 10)), events.where(~held & day.between(11, 20)), events.where(held | (day > 20))):
+        part.write.mode("append").parquet(folder)
+        for _ in range(2):  # a restart finds nothing new
+            stream_sessions(
+                box.store, branch.ref, "shop.sessions", "shop.late", folder, "users", events.schema, time="ts", gap="6 HOURS", delay=delay,
+                group_by=["user_id"], sums={"cents": "CAST(round(value * 100) AS BIGINT)"},
+            )
+    sessions = closed_sessions(branch.table("shop.sessions"), delay).select("user_id", "session_start", "session_end", "n_rows", "cents", "closed")
+    late = branch.table("shop.late").groupBy("user_id").agg(F.min("ts").alias("session_start"), F.count("*").alias("n_rows"), cents("value").alias("cents"))
+    return sessions.unionByName(late, allowMissingColumns=True)
+
+
 @query
 def maintained_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals by customer folded from the changes of an append, an update, a delete and a merge."""
