@@ -17,6 +17,7 @@ from branchyard.functions.expressions import counted_once, matches_fully, member
 from branchyard.operators import ledger as lg
 from branchyard.operators.content import Content, type_of, widens
 from branchyard.operators.merge import planned_merge, publish_merge
+from branchyard.operators.profiles import DriftLimits, drifted
 from branchyard.session import rows_frame
 
 if TYPE_CHECKING:
@@ -322,18 +323,25 @@ def publish(
     rules: dict[str, Sequence[Rule]],
     into: str | None = None,
     by_key: dict[str, Sequence[str]] | None = None,
+    drift: dict[str, DriftLimits] | None = None,
 ) -> DataFrame:
     """Merge ``source`` only if every rule passes on the tables as the merge leaves them.
 
     The merge's commit is made first and checked by its hash; then exactly that commit is
-    published, if neither ref moved meanwhile (else ``StaleHead``).
+    published, if neither ref moved meanwhile (else ``StaleHead``). ``drift`` holds the profiles of
+    tables after the merge against those before; a table that the target has not yet cannot drift.
     """
     target = into or store.default_ref()
+    before = store.ref_state(target)
     plan = planned_merge(store, source, target, None, by_key or {})
     failed = []
     for key, table_rules in rules.items():
         results = check(store.at(plan["hash"]).table(key), table_rules)
         failed += [f"{key}: {row['rule']} ({row['n_failed']})" for row in results.filter("NOT passed").collect()]
+    for key, limits in (drift or {}).items():
+        if key in before["tables"]:
+            columns = [row["column"] for row in drifted(store, key, before["hash"], plan["hash"], limits).collect()]
+            failed += [f"{key}: {column} drifted" for column in sorted(columns)]
     if failed:
         raise AuditFailed("; ".join(failed))
     return store._ref_row(target, publish_merge(store, plan))

@@ -43,6 +43,20 @@ def explained(names: tuple[str, ...], share: float) -> str:
     )
 
 
+def profiled(numbers: tuple[str, ...], others: tuple[str, ...]) -> str:
+    """Exact counts and bounds of the columns of lineitem, as given and changed."""
+    return (
+        "WITH more AS (SELECT * REPLACE (-1 - l_orderkey AS l_orderkey, CAST(NULL AS DOUBLE) AS l_discount) FROM lineitem WHERE l_orderkey % 25 = 0),"
+        " t AS (SELECT 'main' AS ref, * FROM lineitem UNION ALL"
+        " SELECT 'changed', * FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM more) WHERE NOT (l_linenumber = 3 AND l_quantity > 25)) "
+    ) + " UNION ALL ".join(
+        f"SELECT ref, '{c}' AS \"column\", count(*) AS n_rows, count({c}) AS n_values, {bound('min', c)} AS least, {bound('max', c)} AS most,"
+        f" true AS distinct_holds, {'true' if c in numbers else 'CAST(NULL AS BOOLEAN)'} AS quantiles_hold FROM t GROUP BY ref"
+        for c in (*numbers, *others)
+        for bound in [lambda of, c: f"{of}({c})::DOUBLE" if c in numbers else "CAST(NULL AS DOUBLE)"]
+    )
+
+
 ORACLES: dict[str, str] = {
     "csv_header_scan": "SELECT * FROM customer",
     "csv_headerless_scan": (
@@ -345,6 +359,14 @@ ORACLES: dict[str, str] = {
         " UNION ALL SELECT user_id, min(ts), NULL, count(*), CAST(sum(c) AS BIGINT), NULL FROM e WHERE late GROUP BY user_id"
     ),
     "explain_difference": explained(("l_returnflag", "l_linestatus", "ship_year", "l_linenumber", "copied"), 0.04),
+    "profile_by_ref": profiled(
+        ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"),
+        ("l_returnflag", "l_linestatus", "l_shipdate"),
+    ),
+    "gated_publish_drift": (
+        "SELECT 'shop.orders: o_totalprice drifted; then merged' AS outcome, count(*) AS n_rows, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents"
+        " FROM (SELECT o_totalprice FROM orders UNION ALL SELECT o_totalprice FROM orders WHERE o_orderkey % 10 = 0)"
+    ),
     "maintained_totals": (
         "SELECT o_custkey, count(*) AS n_rows, CAST(sum(CASE WHEN o_orderstatus = 'P' THEN 0 ELSE CAST(round(o_totalprice * 100) AS BIGINT) END) AS BIGINT) AS cents,"
         " min(o_orderdate) AS first_day, max(o_orderdate) AS last_day FROM orders WHERE o_orderstatus = 'P' OR NOT (o_orderpriority = '1-URGENT' OR o_custkey % 7 = 0) GROUP BY 1"

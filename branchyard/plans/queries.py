@@ -15,6 +15,7 @@ from branchyard.functions.expressions import counted_once, header_line
 from branchyard.operators import audit, changes, cleanup, merge
 from branchyard.operators.asof import asof_join
 from branchyard.operators.explain import explain_difference as explained
+from branchyard.operators.profiles import ACCURACY, DriftLimits, profile
 from branchyard.operators.store import BranchStore
 from branchyard.operators.totals import refresh_totals
 from branchyard.plans.workflow import (
@@ -737,6 +738,70 @@ def explain_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explained(box.store, "shop.lineitem", "main", branch.ref, by, share=0.04)
 
 
+def rank_holds(column: str, value: float, q: float):
+    """Whether a row of rank ceil(q * n) differs from the value by at most the stated share."""
+    low, high = sorted((value / (1 + ACCURACY), value / (1 - ACCURACY)))
+    rank = F.greatest(F.lit(1), F.ceil(F.lit(q) * F.count(column)))
+    x, slack = F.col(column), 1e-9 * abs(value)
+    return (counted_once(x < low - slack) < rank) & (counted_once(x <= high + slack) >= rank)
+
+
+@query
+def profile_by_ref(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of `lineitem` on two refs that share a batch, from sketches, and whether these keep to their error.
+
+    The other ref has a batch without discounts and lost rows of both. Distinct counts are held against exact ones
+    (five standard errors), quantiles against the ranks of their values.
+    """
+    box = sandbox(spark, sf_dir)
+    box.load("lineitem")
+    branch = box.branch("profiled")
+    lines = branch.table("shop.lineitem")
+    more = lines.where("l_orderkey % 25 = 0").withColumns({"l_orderkey": F.expr("-1 - l_orderkey"), "l_discount": F.lit(None).cast("double")})
+    branch.append("shop.lineitem", more)
+    branch.delete("shop.lineitem", "l_linenumber = 3 AND l_quantity > 25")
+    quantiles, results = (0.01, 0.25, 0.5, 0.75, 0.99), []
+    folder = work_folder(spark, "profiled")
+    profile(box.store, "shop.lineitem", ["main", branch.ref], quantiles).coalesce(1).write.parquet(folder)
+    profiled = spark.read.parquet(folder)
+    for row_ref, ref in (("main", "main"), ("changed", branch.ref)):
+        columns = profiled.where(F.col("ref") == ref).collect()  # one row per column
+        rows = box.store.at(ref).table("shop.lineitem")
+        near = {
+            r["column"]: [rank_holds(r["column"], v, q) for v, q in zip(r["quantiles"], quantiles)] if r["quantiles"] else [F.lit(None).cast("boolean")]
+            for r in columns
+        }
+        held = rows.agg(*[reduce(lambda a, b: a & b, checks).alias(c) for c, checks in near.items()])
+        exact = rows.agg(*[F.count_distinct(c).alias(c) for c in near])
+        held = held.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("quantiles_hold")) for c in near])))
+        exact = exact.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("n_exact")) for c in near])))
+        least, most = (F.expr(f"try_cast({c} AS DOUBLE)").alias(a) for c, a in (("smallest", "least"), ("largest", "most")))
+        distinct = (F.abs(F.col("n_distinct") - F.col("n_exact")) <= 0.04 * F.col("n_exact")).alias("distinct_holds")
+        mine = profiled.where(F.col("ref") == ref).join(exact, "column").join(held, "column")
+        results.append(mine.select(F.lit(row_ref).alias("ref"), "column", "n_rows", "n_values", least, most, distinct, "quantiles_hold"))
+    return union(results)
+
+
+@query
+def gated_publish_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A branch whose prices are tenfold is refused by the profile of `orders`; one with a tenth of the rows anew is merged."""
+    box = sandbox(spark, sf_dir)
+    box.load("orders")
+    target = box.branch("steady")
+    orders = given(spark, sf_dir, "orders")
+    limits, outcomes = {"shop.orders": DriftLimits(distance=0.2, columns=("o_totalprice", "o_custkey"))}, []
+    for factor, part in ((10, orders), (1, orders.where("o_orderkey % 10 = 0"))):
+        source = box.branch("source", target.ref)
+        changed = part.withColumns({"o_orderkey": F.expr("-1 - o_orderkey"), "o_totalprice": F.col("o_totalprice") * factor})
+        source.append("shop.orders", changed)
+        try:
+            audit.publish(box.store, source.ref, {}, target.ref, drift=limits)
+            outcomes.append("merged")
+        except AuditFailed as failed:
+            outcomes.append(str(failed))
+    return totals(target.table("shop.orders"), "; then ".join(outcomes)).withColumnRenamed("ref", "outcome")
+
+
 @query
 def schema_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.schema_diff(workflow(spark, sf_dir).store, "shop.customer", "main", "dev", with_values=True)

@@ -81,7 +81,7 @@ def test_a_branch_writes_no_data(store):
     assert sorted(data.rglob("*")) == files
 
 
-@pytest.mark.parametrize("name", ["row_diff", "keyed_merge_conflicts", "publish_gate", "commit_log", "list_refs", "asof_events", "row_history", "windowed_stream", "session_stream", "explain_difference", "delete_rows"])
+@pytest.mark.parametrize("name", ["row_diff", "keyed_merge_conflicts", "publish_gate", "commit_log", "list_refs", "asof_events", "row_history", "windowed_stream", "session_stream", "explain_difference", "delete_rows", "profile_by_ref"])
 def test_no_python_and_no_cross_join(spark, sf_dir, name):
     text = plan(QUERIES[name](spark, sf_dir))
     for word in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
