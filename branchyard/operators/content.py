@@ -7,7 +7,8 @@ new version shares the old batches and copies no rows.
 A column is found in the files by a name that it keeps for good and that no other column of
 the table ever gets, whatever it is called. Deleted rows are named by a folder of keys, each with
 the batch it was found in, so batches without such a row are read as before, and rows that
-come later are not touched. In a partitioned table each batch holds one value of the partition,
+come later are not touched. Where the places of these rows are known too, a folder of marks
+holds them as bits, one for each row of a file. In a partitioned table each batch holds one value of the partition,
 which its name tells.
 """
 
@@ -70,6 +71,10 @@ def partition_name(value) -> str:
 EMPTY_DIGEST = "0" * 64
 
 
+#: a row's file and number in it, in a scan that shows them
+PLACE = "_batch~place"
+
+
 @dataclass(frozen=True)
 class Delete:
     """A folder of keys whose rows are gone. ``batches`` are those it names, or None where they are too many to hold here."""
@@ -78,6 +83,15 @@ class Delete:
     keys: tuple[tuple[str, str], ...]
     batches: tuple[str, ...] | None
 
+    @staticmethod
+    def new_id(marked: bool) -> str:
+        return ("p" if marked else "d") + uuid.uuid4().hex
+
+    @property
+    def marked(self) -> bool:
+        """Whether the places of its rows are marked."""
+        return self.id.startswith("p")
+
     def touches(self, batch: str) -> bool:
         return self.batches is None or batch in self.batches
 
@@ -218,6 +232,8 @@ def require_names(columns: tuple) -> tuple:
         raise ValueError(f"a table needs columns with distinct names, got {[name for name, _, _ in columns]}")
     if "_batch" in names:
         raise ValueError("_batch names the folder of a batch and cannot be a column")
+    if PLACE in names:
+        raise ValueError(f"{PLACE} names the place of a row and cannot be a column")
     return columns
 
 

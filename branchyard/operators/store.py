@@ -5,6 +5,7 @@
     contents/<id>/                  one row per table version
     data/table=<id>/_batch=<id>/    the rows, never changed after the write
     deletes/table=<id>/_delete=<id>/  keys of deleted rows, with the batch of each
+    marks/table=<id>/_delete=<id>/  places of deleted rows, as bits
     staging/<name>/                 unversioned tables, seen from every ref
     streams/<lane>/<table>/<name>/  checkpoints of streams into a ref
 
@@ -32,7 +33,7 @@ from branchyard.errors import AlreadyExists, StaleHead, UnknownRef, UnknownTable
 from branchyard.functions.expressions import quoted
 from branchyard.operators import ledger as lg
 from branchyard.operators import merge as mg
-from branchyard.operators.content import CONTENT_SCHEMA, Content, Delete, partition_name, partition_of, struct_of
+from branchyard.operators.content import CONTENT_SCHEMA, PLACE, Content, Delete, partition_name, partition_of, struct_of
 from branchyard.operators.tables import RefTables
 from branchyard.session import names_in, no_rows, publish_folder, rows_frame
 
@@ -40,6 +41,12 @@ REF_NAME = re.compile(r"[A-Za-z0-9][A-Za-z0-9_.-]*")
 COMMIT_HASH = re.compile(r"[0-9a-f]{64}")
 #: metadata rows that a store object keeps of each kind
 KEPT = 1000
+#: rows whose marks are one row, a bit each
+MARKED = 32_768
+#: ways of reading a version's batches, by the deletes that name them, before those are brought together
+READS = 4
+MARKS_SCHEMA = "_batch string, file string, block bigint, bits binary"
+PLACE_TYPE = StructType().add("file", "string").add("row", "long")
 TABLE_KEY = re.compile(r"[A-Za-z0-9_]+\.[A-Za-z0-9_]+")
 
 
@@ -51,6 +58,23 @@ def keep(known: OrderedDict, name: str, value):
     return value
 
 
+def _placed(rows: DataFrame) -> DataFrame:
+    """Rows just read, with the place of each."""
+    at = rows.metadataColumn("_metadata")
+    return rows.select("*", F.struct(at["file_name"].alias("file"), at["row_index"].alias("row")).alias(PLACE))
+
+
+def _held(rows: DataFrame, marks: DataFrame, there: bool) -> DataFrame:
+    """The rows whose places are marked, or those whose places are not."""
+    file, row, bits = F.col(f"r.{quoted(PLACE)}.file"), F.col(f"r.{quoted(PLACE)}.row"), F.col("m.bits")
+    same = (F.col("r._batch") == F.col("m._batch")) & (file == F.col("m.file")) & (F.shiftright(row, MARKED.bit_length() - 1) == F.col("m.block"))
+    at = row.bitwiseAND(MARKED - 1).cast("int")
+    byte = F.conv(F.hex(F.substring(bits, F.shiftright(at, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    marked = F.bit_get(byte, at.bitwiseAND(7)) == 1
+    both = rows.alias("r").join(marks.alias("m"), same, "inner" if there else "left")
+    return both.where(marked if there else bits.isNull() | ~marked).select("r.*")
+
+
 class BranchStore:
     """The store at ``root``; ``BranchStore.start`` makes a new one.
 
@@ -58,6 +82,8 @@ class BranchStore:
     its folders; a longer list stays in Spark and is joined.
     ``broadcast_limit``: that join broadcasts the list only up to this many
     batches (an id is about 40 bytes); beyond it Spark chooses the join.
+    ``marks_limit``: marks of deleted rows are broadcast up to this many blocks of 4 KB, each
+    for 32,768 rows of touched files; beyond it Spark chooses the join.
     """
 
     def __init__(
@@ -67,14 +93,17 @@ class BranchStore:
         default: str = "main",
         path_limit: int = 1000,
         broadcast_limit: int = 500_000,
+        marks_limit: int = 20_000,
     ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.default = default
         self.path_limit = path_limit
         self.broadcast_limit = broadcast_limit
+        self.marks_limit = marks_limit
         self._contents: OrderedDict[str, Content] = OrderedDict()
         self._commits: OrderedDict[str, dict] = OrderedDict()
+        self._n_marks: OrderedDict[str, int] = OrderedDict()
         #: of streams: the last move looked at, and the last number published
         self.stream_numbers: dict[tuple[str, str], tuple[int, int | None]] = {}
         #: session views that create_views made: for each ref, and under "" of the current ref
@@ -423,6 +452,32 @@ class BranchStore:
     def delete_path(self, table_id: str, delete: str) -> str:
         return f"{self.root}/deletes/table={table_id}/_delete={delete}"
 
+    def marks_path(self, table_id: str, delete: str) -> str:
+        return f"{self.root}/marks/table={table_id}/_delete={delete}"
+
+    def write_marks(self, table_id: str, delete: str) -> str:
+        """Mark the places that a written delete names; the folder of the marks."""
+        kinds = f"_batch string, `{PLACE}` struct<file:string,row:bigint>"
+        rows = self.spark.read.schema(kinds).parquet(self.delete_path(table_id, delete))
+        place, path = F.col(quoted(PLACE)), self.marks_path(table_id, delete)
+        block = F.shiftright(place["row"], MARKED.bit_length() - 1).alias("block")
+        rows = rows.select("_batch", place["file"].alias("file"), block, (place["row"] % MARKED).alias("at"))
+        rows.groupBy("_batch", "file", "block").agg(F.bitmap_construct_agg("at").alias("bits")).write.parquet(path)
+        return path
+
+    def marks(self, table_id: str, deletes: Sequence[Delete]) -> DataFrame:
+        """_batch, file, block, bits: which rows of a block of a file one of the deletes names."""
+        paths = {d.id: self.marks_path(table_id, d.id) for d in deletes}
+        rows = self.spark.read.schema(MARKS_SCHEMA).parquet(*paths.values())
+        if len(paths) > 1:
+            rows = rows.groupBy("_batch", "file", "block").agg(F.bitmap_or_agg("bits").alias("bits"))
+        known = self._n_marks
+        for name, path in paths.items():
+            if name not in known:
+                keep(known, name, self.spark.read.schema(MARKS_SCHEMA).parquet(path).count())
+        n_blocks = sum(self._n_marks.get(name, self.marks_limit + 1) for name in paths)
+        return F.broadcast(rows) if n_blocks <= self.marks_limit else rows
+
     def write_batch(self, content: Content, df: DataFrame, batch: str, mode: str = "errorifexists") -> list[str]:
         """Write rows by position under the version's columns; the names of the batches made.
 
@@ -451,13 +506,20 @@ class BranchStore:
         return rows.select(F.explode("batches").alias("_batch"))
 
     def scan(
-        self, content: Content, without: Content | None = None, partitions: Sequence | None = None, with_batch: bool = False
+        self,
+        content: Content,
+        without: Content | None = None,
+        partitions: Sequence | None = None,
+        with_batch: bool = False,
+        with_place: bool = False,
     ) -> DataFrame:
         """Rows of a version, lazily.
 
-        ``without`` leaves out batches that another version has with the same rows deleted;
-        ``partitions`` names the only partition values to read. Both are settled before a folder
-        is listed. Only batches that a delete names are held against deleted keys.
+        ``without`` leaves out batches that another version has with the same rows deleted, and where
+        both versions' deletes are marked, also rows that the other has of batches with other rows deleted:
+        what two versions leave out of each other is the same. ``partitions`` names the only partition
+        values to read. Batches are settled before a folder is listed. Only batches that a delete names
+        are held against deleted rows, and only against those deletes. ``with_place`` shows where a row is.
         """
         skip = without if without is not None and without.table_id == content.table_id else None
         names = None if partitions is None else {partition_name(value) for value in partitions}
@@ -465,16 +527,29 @@ class BranchStore:
             raise ValueError("the table is not partitioned")
         shown = [F.col(quoted(file)).alias(name) for name, _, file in content.columns]
         shown += [F.col("_batch")] if with_batch else []
+        shown += [F.col(quoted(PLACE))] if with_place else []
         if content.batches is not None and (skip is None or skip.batches is not None):
-            same = set() if skip is None else {b for b in skip.batches if content.deletes_of(b) == skip.deletes_of(b)}
-            wanted = [b for b in content.batches if b not in same and (names is None or partition_of(b) in names)]
-            whole = [b for b in wanted if not content.deletes_of(b)]
-            touched = [b for b in wanted if content.deletes_of(b)]
-            frames = [self._read(content, whole, with_batch).select(shown)] if whole else []
-            if touched:
-                frames.append(self._left(content, self._read(content, touched, True)).select(shown))
+            theirs = {} if skip is None else {b: skip.deletes_of(b) for b in skip.batches}
+            groups: dict[tuple, list[str]] = {}
+            for batch in content.batches:
+                mine = content.deletes_of(batch)
+                if theirs.get(batch) == mine or names is not None and partition_of(batch) not in names:
+                    continue
+                only = theirs.get(batch) if self._marked(content, batch) and skip and self._marked(skip, batch) else None
+                if only is None or only:
+                    groups.setdefault((mine, only), []).append(batch)
+            if len(groups) > READS:
+                wide: dict[tuple, list[str]] = {}
+                for (mine, only), batches in groups.items():
+                    wide.setdefault((bool(mine), only is not None), []).append((mine, only or (), batches))
+                groups = {
+                    (frozenset().union(*[m for m, _, _ in parts]), frozenset().union(*[o for _, o, _ in parts]) if both else None): [b for _, _, bs in parts for b in bs]
+                    for (_, both), parts in wide.items()
+                }
+            frames = [self._shown(content, skip, mine, only, batches, with_batch, with_place).select(shown) for (mine, only), batches in groups.items()]
             if not frames:
-                return no_rows(self.spark, content.schema.add("_batch", "string") if with_batch else content.schema)
+                nothing = content.schema.add("_batch", "string") if with_batch else content.schema
+                return no_rows(self.spark, nothing.add(PLACE, PLACE_TYPE) if with_place else nothing)
             return reduce(DataFrame.union, frames)
         wanted = self.batch_list(content)
         if names is not None:
@@ -488,7 +563,20 @@ class BranchStore:
             wanted = F.broadcast(wanted)
         root = f"{self.root}/data/table={content.table_id}"
         rows = self.spark.read.schema(self._read_schema(content).add("_batch", "string")).parquet(root)
-        return self._left(content, rows.join(wanted, "_batch", "left_semi")).select(shown)
+        return self._left(content, content.deletes, _placed(rows).join(wanted, "_batch", "left_semi")).select(shown)
+
+    @staticmethod
+    def _marked(content: Content, batch: str) -> bool:
+        return all(d.marked for d in content.deletes if d.touches(batch))
+
+    def _shown(self, content, skip, mine, only, batches: list[str], with_batch: bool, with_place: bool) -> DataFrame:
+        """Rows of batches that none of the deletes ``mine`` names; of these, if given, those that one of ``only`` names."""
+        rows = self._read(content, batches, with_batch or bool(mine or only))
+        rows = _placed(rows) if with_place or mine or only else rows
+        rows = self._left(content, [d for d in content.deletes if d.id in mine], rows)
+        if only:
+            rows = self.marked_rows(content, [d for d in skip.deletes if d.id in only], rows)
+        return rows
 
     def _read_schema(self, content: Content) -> StructType:
         """The version's columns and those that only its deletes still name, by their names in the files."""
@@ -513,17 +601,25 @@ class BranchStore:
         files = reader.schema(schema).parquet(*paths)
         return files.select("_batch", *["_delete"] * with_id, *[F.col(quoted(file)).alias(f"k{n}") for n, (file, _) in enumerate(columns)])
 
-    def _left(self, content: Content, rows: DataFrame) -> DataFrame:
-        """The rows that no delete names: one anti join for each set of key columns, by batch and keys."""
+    def _left(self, content: Content, deletes: Sequence[Delete], rows: DataFrame) -> DataFrame:
+        """The rows that no delete names: by their places, or one anti join for each set of key columns, by batch and keys."""
+        marked = [d for d in deletes if d.marked]
+        if marked:
+            rows = _held(rows, self.marks(content.table_id, marked), there=False)
         by_keys: dict[tuple, list[Delete]] = {}
-        for delete in content.deletes:
-            by_keys.setdefault(tuple(file for file, _ in delete.keys), []).append(delete)
-        for files, deletes in by_keys.items():
-            gone = self.deleted_keys(content, deletes)
+        for delete in deletes:
+            if not delete.marked:
+                by_keys.setdefault(tuple(file for file, _ in delete.keys), []).append(delete)
+        for files, named in by_keys.items():
+            gone = self.deleted_keys(content, named)
             same = [F.col(f"r.{quoted(file)}").eqNullSafe(F.col(f"g.k{n}")) for n, file in enumerate(files)]
             rows = rows.alias("r").join(gone.alias("g"), reduce(and_, [F.col("r._batch") == F.col("g._batch"), *same]), "left_anti")
         return rows
 
+    def marked_rows(self, content: Content, deletes: Sequence[Delete], rows: DataFrame) -> DataFrame:
+        """Those of some rows of a table, with batch and place, that one of the deletes names."""
+        return _held(rows, self.marks(content.table_id, deletes), there=True)
+
     # ---- staging ------------------------------------------------------------------
 
     def load_staging(self, name: str, rows: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql.types import DataType, StructType
 
 from branchyard.errors import AlreadyExists, StaleHead
 from branchyard.functions.expressions import quoted
-from branchyard.operators.content import Content, Delete, new_batch_id, partition_of
+from branchyard.operators.content import PLACE, Content, Delete, new_batch_id, partition_of
 from branchyard.operators.ledger import NAMESPACE
 from branchyard.session import no_rows, rows_frame
 
@@ -230,8 +230,8 @@ class RefTables:
     def delete(self, key: str, condition: Column | str, by: Sequence[str] | None = None) -> DataFrame:
         """Remove the rows for which the condition is true. No batch is rewritten.
 
-        What is written is one row for each batch and distinct row that goes: all its columns,
-        or those of ``by``, which have to tell these rows from the others of their batch.
+        What is written is one row for each row that goes: all its columns, or those of ``by``, which
+        have to tell these rows from the others of their batch, and its place in the files.
         """
         self, key = self._at(key)
         condition = F.expr(condition) if isinstance(condition, str) else condition
@@ -285,12 +285,13 @@ class RefTables:
         names = [name for name in old.schema.names if by is None or name.lower() in {b.lower() for b in by}]
         if by is not None and len(names) != len(by):
             raise ValueError(f"{key} has no columns {sorted(set(by) - set(names))}")
-        keys = gone(rows).select("_batch", *[F.col(quoted(name)) for name in names]).distinct()
+        keys = ["_batch", *[F.col(quoted(name)) for name in names]]
         if by is not None and condition is not None:
             others = rows.where(~F.coalesce(condition, F.lit(False)))
-            if not _with_keys(others, keys).isEmpty():
+            if not _with_keys(others, gone(rows).select(*keys).distinct()).isEmpty():
                 raise ValueError(f"{list(by)} do not tell the rows from others of {key}")
-        delete = self._written_delete(old, keys, names)
+        placed = gone(self.store.scan(old, with_batch=True, with_place=True))
+        delete = self._written_delete(old, placed.select(*keys, F.col(quoted(PLACE))), names)
         batches = self.store.write_batch(old, added(rows), new_batch_id()) if added else []
         if delete is None and not batches:
             return self._no_rows()
@@ -299,12 +300,14 @@ class RefTables:
         return self._no_rows()
 
     def _written_delete(self, old: Content, keys: DataFrame, names: Sequence[str]) -> Delete | None:
-        """A delete of the rows with these batches and keys; None if there are none."""
+        """A delete of the rows with these batches and keys; None if there are none. If the rows show their places, these are marked."""
         kinds = {name: (file, kind) for name, kind, file in old.columns}
-        columns = tuple(kinds[name] for name in names)
-        delete, limit = f"d{uuid.uuid4().hex}", self.store.path_limit
+        columns, marked = tuple(kinds[name] for name in names), PLACE in keys.columns
+        delete, limit = Delete.new_id(marked), self.store.path_limit
         path = self.store.delete_path(old.table_id, delete)
-        keys.toDF("_batch", *[file for file, _ in columns]).write.parquet(path)
+        keys.toDF("_batch", *[file for file, _ in columns], *[PLACE] * marked).write.parquet(path)
+        if marked:
+            path = self.store.write_marks(old.table_id, delete)
         named = self.store.spark.read.schema("_batch string").parquet(path).distinct().limit(limit + 1).collect()
         batches = tuple(sorted(row["_batch"] for row in named))
         return Delete(delete, columns, batches if len(batches) <= limit else None) if batches else None
