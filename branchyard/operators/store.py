@@ -66,11 +66,13 @@ def _placed(rows: DataFrame) -> DataFrame:
 
 def _held(rows: DataFrame, marks: DataFrame, there: bool) -> DataFrame:
     """The rows whose places are marked, or those whose places are not."""
+    # four bytes of marks a number, made once for a block
+    word = lambda n: F.conv(F.hex(F.substring(F.col("bits"), 4 * n + 1, F.lit(4))), 16, 10).cast("bigint")
+    marks = marks.withColumn("bits", F.transform(F.sequence(F.lit(0), F.lit(MARKED // 32 - 1)), word))
     file, row, bits = F.col(f"r.{quoted(PLACE)}.file"), F.col(f"r.{quoted(PLACE)}.row"), F.col("m.bits")
     same = (F.col("r._batch") == F.col("m._batch")) & (file == F.col("m.file")) & (F.shiftright(row, MARKED.bit_length() - 1) == F.col("m.block"))
     at = row.bitwiseAND(MARKED - 1).cast("int")
-    byte = F.conv(F.hex(F.substring(bits, F.shiftright(at, 3) + 1, F.lit(1))), 16, 10).cast("int")
-    marked = F.bit_get(byte, at.bitwiseAND(7)) == 1
+    marked = F.bit_get(bits[F.shiftright(at, 5)], 24 - at.bitwiseAND(24) + at.bitwiseAND(7)) == 1
     both = rows.alias("r").join(marks.alias("m"), same, "inner" if there else "left")
     return both.where(marked if there else bits.isNull() | ~marked).select("r.*")
 
@@ -82,7 +84,7 @@ class BranchStore:
     its folders; a longer list stays in Spark and is joined.
     ``broadcast_limit``: that join broadcasts the list only up to this many
     batches (an id is about 40 bytes); beyond it Spark chooses the join.
-    ``marks_limit``: marks of deleted rows are broadcast up to this many blocks of 4 KB, each
+    ``marks_limit``: marks of deleted rows are broadcast up to this many blocks of 8 KB, each
     for 32,768 rows of touched files; beyond it Spark chooses the join.
     """
 
@@ -93,7 +95,7 @@ class BranchStore:
         default: str = "main",
         path_limit: int = 1000,
         broadcast_limit: int = 500_000,
-        marks_limit: int = 20_000,
+        marks_limit: int = 10_000,
     ):
         self.spark = spark
         self.root = root.rstrip("/")

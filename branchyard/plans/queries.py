@@ -772,9 +772,9 @@ def profile_by_ref(spark: SparkSession, sf_dir: str) -> DataFrame:
             for r in columns
         }
         held = rows.agg(*[reduce(lambda a, b: a & b, checks).alias(c) for c, checks in near.items()])
-        exact = rows.agg(*[F.count_distinct(c).alias(c) for c in near])
+        # a column at a time, as counting all at once shuffles each row once for each of them, as wide as all of them
+        exact = union([rows.agg(F.count_distinct(c).alias("n_exact")).select(F.lit(c).alias("column"), "n_exact") for c in near])
         held = held.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("quantiles_hold")) for c in near])))
-        exact = exact.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("n_exact")) for c in near])))
         least, most = (F.expr(f"try_cast({c} AS DOUBLE)").alias(a) for c, a in (("smallest", "least"), ("largest", "most")))
         distinct = (F.abs(F.col("n_distinct") - F.col("n_exact")) <= 0.04 * F.col("n_exact")).alias("distinct_holds")
         mine = profiled.where(F.col("ref") == ref).join(exact, "column").join(held, "column")

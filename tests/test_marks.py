@@ -9,6 +9,7 @@ import pytest
 
 from branchyard import BranchStore
 from branchyard.operators.audit import row_diff
+from branchyard.plans.queries import QUERIES
 
 SCHEMA = "k bigint, a string, `x.y` double"
 
@@ -86,3 +87,8 @@ def test_many_deletes_are_read_in_few_passes(store, spark):
 def test_a_column_cannot_be_named_as_the_place(store):
     with pytest.raises(ValueError, match="place"):
         store.at("main").create_table("s.odd", "`_batch~place` int")
+
+
+def test_profile_by_ref_counts_columns_apart(spark, sf_dir):
+    text = QUERIES["profile_by_ref"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in text and "LeftAnti" not in text
